@@ -1,13 +1,15 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame.
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads the given tables (or data Spark derives from them) in full.
 Outputs are made comparable across engines at the edge only: timestamps are
 shown as UTC wall-clock (TIMESTAMP_NTZ) and decimals as doubles; wall-clock
-columns such as load instants are left out.
+columns such as load instants are left out.  Queries that write tables
+(landing, end-to-end, table loads) write under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +17,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.operators import bronze as B
+from shelfcast.operators import constraints as C
+from shelfcast.operators import drivers as D
+from shelfcast.operators import forecast as FC
 from shelfcast.operators import gold as G
+from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
-from shelfcast.session import apply_required_conf
+from shelfcast.plans import jobs as JOBS
+from shelfcast.schemas import SALES_TRANSACTIONS
+from shelfcast.session import apply_required_conf, scratch_path
+from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
+from shelfcast.streaming import landing as STREAM
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
+# The second landing of redelivered messages happens one day after the first.
+REDELIVERY_LANDED_AT = "2026-01-02 06:00:00"
+PINBALL_QUANTILES = [0.1, 0.5, 0.9]
+
 
 def query(name: str):
     def register(fn: QueryFn) -> QueryFn:
@@ -56,35 +70,424 @@ def comparable(df: DataFrame, drop: tuple[str, ...] = ()) -> DataFrame:
 # ------------------------------------------------------------ shared chains
 
 
-def landed_bronze(spark: SparkSession, sf_dir: str, redeliver: bool = False) -> DataFrame:
-    """Change log -> bronze rows (as a batch landing would write them)."""
-    return B.bronze_rows(RV.change_log(spark, sf_dir, redeliver=redeliver), RV.AS_OF)
+def landed_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change log -> bronze rows, as one batch landing writes them."""
+    return B.bronze_rows(RV.change_log(spark, sf_dir), RV.AS_OF)
 
 
-def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.silver_events(landed_bronze(spark, sf_dir), RV.AS_OF)
+def landed_bronze_with_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze after two landings: the whole log, then the redelivered messages a day later."""
+    first = B.bronze_rows(RV.change_log(spark, sf_dir), RV.AS_OF)
+    again = B.bronze_rows(RV.redelivered_messages(spark, sf_dir), REDELIVERY_LANDED_AT)
+    return first.unionByName(again)
 
 
-def gold_from_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return G.gold_daily_demand(G.current_transactions(silver_table(spark, sf_dir)), RV.AS_OF)
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.silver_events(landed_bronze(spark, sf_dir), RV.AS_OF)
 
 
 def gold_from_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold from typed change events (same rules, no JSON): the input of forecasting."""
-    events = RV.sales_change_events(spark, sf_dir)
-    return G.gold_daily_demand(G.current_from_typed_events(events), RV.AS_OF)
+    return G.gold_daily_demand(current_typed(spark, sf_dir), RV.AS_OF)
 
 
-# ------------------------------------------------------------------ queries
+def current_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.current_from_typed_events(RV.sales_change_events(spark, sf_dir))
 
 
-@query("gold_daily_demand")
-def q_gold_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1 over the full envelope -> bronze -> silver -> W2 chain."""
-    return comparable(gold_from_silver(spark, sf_dir), drop=("gold_loaded_at",))
+def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The four retail tables in their current state."""
+    sales_cols = [f.name for f in SALES_TRANSACTIONS.fields]
+    return {
+        "stores": RV.stores(spark, sf_dir),
+        "products": RV.products(spark, sf_dir),
+        "promotions": RV.promotions(spark, sf_dir),
+        "sales_transactions": current_typed(spark, sf_dir).select(*sales_cols),
+    }
+
+
+def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FC.demand_panel(gold_from_typed(spark, sf_dir))
+
+
+def window_scalars(panel: DataFrame, holdout: int = FC.HOLDOUT_DAYS):
+    """test_start / test_end of the holdout as scalar subqueries (no driver round trip)."""
+    hi = panel.select(F.max(FC.DATE)).scalar()
+    return F.date_sub(hi, holdout - 1), hi
+
+
+# --------------------------------------------------------- bronze / landing
+
+
+@query("bronze_rows")
+def q_bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka messages of all four tables -> bronze rows."""
+    return comparable(landed_bronze(spark, sf_dir),
+                      drop=("ingested_at", "ingest_date", "debezium_value"))
+
+
+@query("ingest_ids")
+def q_ingest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sha256 ids per message; a redelivered message gets the same id."""
+    log = RV.change_log(spark, sf_dir, redeliver=True)
+    return log.select(
+        "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
+        F.sha2(F.concat_ws(":", "topic", F.col("partition").cast("string"), F.col("offset").cast("string")),
+               256).alias("ingest_id"),
+    )
+
+
+def _stream_source(spark: SparkSession, sf_dir: str, redeliver: bool) -> str:
+    """Write the change log as several files, the shape a file-backed stream reads."""
+    src = scratch_path(spark, "stream_source")
+    RV.change_log(spark, sf_dir, redeliver=redeliver).repartition(4, "topic", "partition").write.parquet(src)
+    return src
+
+
+@query("land_bronze_stream")
+def q_land_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """availableNow drain, one file per micro-batch, first batch overwrites."""
+    src = _stream_source(spark, sf_dir, redeliver=False)
+    bronze = scratch_path(spark, "bronze_stream")
+    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), mode="overwrite",
+                              max_per_trigger=1, watermark_delay=None)
+    return comparable(L.read_lake_table(spark, bronze),
+                      drop=("ingested_at", "ingest_date", "debezium_value"))
+
+
+@query("stream_dedup")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At-least-once stream with redeliveries -> one bronze row per coordinate."""
+    src = _stream_source(spark, sf_dir, redeliver=True)
+    bronze = scratch_path(spark, "bronze_dedup")
+    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), mode="append",
+                              max_per_trigger=1, watermark_delay=None)
+    return L.read_lake_table(spark, bronze).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
+
+
+# ------------------------------------------------------------------ silver
+
+
+@query("silver_events")
+def q_silver_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed, canonical silver events of all four tables."""
+    return comparable(silver_table(spark, sf_dir), drop=("silver_loaded_at", "ingested_at", "before_data"))
+
+
+@query("operation_mix")
+def q_operation_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per table and operation, with names and flags."""
+    return silver_table(spark, sf_dir).groupBy(
+        "source_table", "operation", "operation_name", "is_snapshot", "is_deleted"
+    ).agg(F.count(F.lit(1)).alias("events"))
+
+
+@query("canonical_json")
+def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sales envelopes (field order as produced) -> sorted, compact JSON."""
+    from shelfcast.functions.json_fns import canonical_json
+
+    log = RV.change_log(spark, sf_dir).filter(F.col("topic") == RV.topic_for("sales_transactions"))
+    return log.select(
+        F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
+        canonical_json(F.col("value").cast("string")).alias("canonical_value"),
+    )
+
+
+@query("dedup_coordinates")
+def q_dedup_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep the last landed copy of each Kafka coordinate."""
+    kept = S.keep_last_per_coordinate(landed_bronze_with_redelivery(spark, sf_dir))
+    return comparable(kept.select("topic", "kafka_partition", "kafka_offset", "ingest_id", "source_table",
+                                  "operation", "ingested_at"))
+
+
+@query("source_table_counts")
+def q_source_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows per source table."""
+    return silver_table(spark, sf_dir).groupBy("source_table").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("silver_summary")
+def q_silver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows (with redeliveries) vs silver rows after keep-last, and the mix."""
+    bronze = landed_bronze_with_redelivery(spark, sf_dir)
+    silver = S.silver_events(bronze, RV.AS_OF)
+    return silver.agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_distinct("source_table").alias("source_tables"),
+        F.count_if("is_snapshot").alias("snapshot_events"),
+        F.count_if("is_deleted").alias("delete_events"),
+        F.min("event_date").alias("min_event_date"),
+        F.max("event_date").alias("max_event_date"),
+    ).select(bronze.select(F.count(F.lit(1))).scalar().alias("bronze_rows"), "*")
+
+
+# -------------------------------------------------------------------- gold
+
+
+@query("sales_transactions_typed")
+def q_sales_transactions_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every silver sales event parsed to the typed transaction frame."""
+    return comparable(G.typed_sales(G.sales_events(silver_table(spark, sf_dir))))
 
 
 @query("current_transactions")
 def q_current_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W2 latest-per-key with deletes dropped, then typed parse."""
+    """Latest event per transaction, deletes dropped, then typed."""
     return comparable(G.current_transactions(silver_table(spark, sf_dir)))
+
+
+@query("gold_daily_demand")
+def q_gold_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: gold over the full envelope -> bronze -> silver -> W2 chain."""
+    silver = silver_table(spark, sf_dir)
+    return comparable(G.gold_daily_demand(G.current_transactions(silver), RV.AS_OF), drop=("gold_loaded_at",))
+
+
+@query("gold_summary")
+def q_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows, current transactions, gold rows and gold date range."""
+    silver = silver_table(spark, sf_dir)
+    current = G.current_transactions(silver)
+    gold = G.gold_daily_demand(current, RV.AS_OF)
+    return gold.agg(
+        F.count(F.lit(1)).alias("gold_rows"),
+        F.min("business_date").alias("min_business_date"),
+        F.max("business_date").alias("max_business_date"),
+        F.sum("units_sold").alias("units_sold"),
+    ).select(
+        silver.select(F.count(F.lit(1))).scalar().alias("silver_rows"),
+        current.select(F.count(F.lit(1))).scalar().alias("current_transaction_rows"),
+        "*",
+    )
+
+
+@query("date_decoding")
+def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payload epoch-day integers -> dates (distinct days)."""
+    from shelfcast.functions import json_fns as J
+    from shelfcast.functions.dates import variant_date
+
+    sales = G.sales_events(silver_table(spark, sf_dir)).select(J.parse("record_data").alias("p"))
+    return sales.select(
+        J.path(F.col("p"), "$.business_date", "int").alias("epoch_day"),
+        variant_date(F.col("p"), "$.business_date").alias("business_date"),
+    ).distinct()
+
+
+@query("inspect_table")
+def q_inspect_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and files per source_table of a written bronze table."""
+    path = scratch_path(spark, "inspect_bronze")
+    JOBS.land_bronze_batch(RV.change_log(spark, sf_dir), path, RV.AS_OF, mode="overwrite")
+    return L.inspect_table(spark, path, "source_table")
+
+
+@query("lakehouse_end_to_end")
+def q_lakehouse_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land -> gate -> silver -> gate -> gold as written tables; gold read back."""
+    paths = JOBS.LakehousePaths.under(scratch_path(spark, "lakehouse"))
+    JOBS.run_lakehouse(RV.change_log(spark, sf_dir, redeliver=True), paths, RV.AS_OF)
+    return comparable(L.read_lake_table(spark, paths.gold), drop=("gold_loaded_at",))
+
+
+# ----------------------------------------------------------------- quality
+
+
+@query("bronze_quality")
+def q_bronze_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1-D11 over bronze after a redelivery: the uniqueness expectation fails."""
+    return Q.evaluate(landed_bronze_with_redelivery(spark, sf_dir), Q.bronze_to_silver_suite())
+
+
+@query("silver_quality")
+def q_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1-D11 over silver."""
+    return Q.evaluate(silver_table(spark, sf_dir), Q.silver_to_gold_suite())
+
+
+@query("constraint_report")
+def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, not-null, checks and foreign keys of the four tables."""
+    return C.constraint_report(retail_tables(spark, sf_dir))
+
+
+@query("fk_violations")
+def q_fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan references per foreign key, with the rows checked."""
+    tables = retail_tables(spark, sf_dir)
+    viol = C.foreign_key_violations(tables)
+    checked = None
+    for child, ccol, _parent, _pcol in C.FOREIGN_KEYS:
+        part = tables[child].agg(F.count(ccol).alias("checked_rows")).select(
+            F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"), "checked_rows")
+        checked = part if checked is None else checked.unionByName(part)
+    return viol.join(checked, ["child_table", "child_column"])
+
+
+@query("inventory_cap_violations")
+def q_inventory_cap_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """store/SKU/days whose units exceed inventory on hand."""
+    return C.inventory_cap_violations(current_typed(spark, sf_dir))
+
+
+@query("load_retail_tables")
+def q_load_retail_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed loads of the four tables, refused when a constraint is violated."""
+    tables = retail_tables(spark, sf_dir)
+    report = C.constraint_report(tables)
+    bad = report.filter(F.col("violations") > 0).select("table_name", "check_name").collect()
+    if bad:
+        raise ValueError(f"retail tables violate constraints: {[tuple(r) for r in bad]}")
+    root = scratch_path(spark, "retail")
+    out = None
+    for name, df in tables.items():
+        path = os.path.join(root, name)
+        L.write_lake_table(df, path, "overwrite")
+        part = L.read_lake_table(spark, path).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---------------------------------------------------------------- forecast
+
+
+@query("demand_panel")
+def q_demand_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense series x calendar panel, zero-filled."""
+    return panel_of(spark, sf_dir)
+
+
+@query("evaluation_window")
+def q_evaluation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout window derived from the data."""
+    return FC.evaluation_window(panel_of(spark, sf_dir))
+
+
+@query("train_test_split")
+def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, series and date bounds of each split."""
+    panel = panel_of(spark, sf_dir)
+    start, end = window_scalars(panel)
+    train, test = FC.split(panel, start, end)
+
+    def stats(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct(*FC.SERIES).alias("series"),
+            F.min(FC.DATE).alias("min_date"), F.max(FC.DATE).alias("max_date"),
+        ).select(F.lit(name).alias("split"), "*")
+
+    return stats(train, "train").unionByName(stats(test, "test"))
+
+
+@query("trailing_mean")
+def q_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of each series' last season of train."""
+    panel = panel_of(spark, sf_dir)
+    start, end = window_scalars(panel)
+    train, _ = FC.split(panel, start, end)
+    return FC.trailing_mean(train)
+
+
+@query("seasonal_naive")
+def q_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seasonal-naive forecast frame of the holdout."""
+    panel = panel_of(spark, sf_dir)
+    start, end = window_scalars(panel)
+    return FC.seasonal_naive(panel, start, end)
+
+
+def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = panel_of(spark, sf_dir)
+    start, end = window_scalars(panel)
+    return FC.seasonal_naive(panel, start, end)
+
+
+@query("forecast_metrics")
+def q_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error metrics in one aggregate (unrounded)."""
+    return FC.forecast_metrics(_forecasts(spark, sf_dir))
+
+
+@query("pinball_loss")
+def q_pinball_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: pinball loss of the baseline at several quantiles."""
+    fc = _forecasts(spark, sf_dir)
+    a, p = F.col("actual_units"), F.col("forecast_units")
+    row = fc.agg(*[FC.pinball_loss(a, p, q).alias(f"q{i}") for i, q in enumerate(PINBALL_QUANTILES)])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(q).alias("quantile"), F.col(f"q{i}").alias("pinball_loss"))
+        for i, q in enumerate(PINBALL_QUANTILES)
+    ])).alias("r")).select("r.*")
+
+
+@query("baseline_evaluation")
+def q_baseline_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8/M2: checked end-to-end evaluation: window, panel size, forecasts, metrics."""
+    panel = panel_of(spark, sf_dir)
+    window = FC.evaluation_window(panel).first()
+    FC.validate_evaluation_window(window)
+    fc = FC.seasonal_naive(panel, window["test_start"], window["test_end"])
+    return FC.forecast_metrics(fc).select(
+        F.lit(FC.MODEL_NAME).alias("model"),
+        F.lit(window["train_start"]).alias("train_start"),
+        F.lit(window["test_start"]).alias("test_start"),
+        F.lit(window["test_end"]).alias("test_end"),
+        panel.select(F.count(F.lit(1))).scalar().alias("panel_rows"),
+        "*",
+    )
+
+
+# ----------------------------------------------------------------- drivers
+
+
+@query("active_promotion")
+def q_active_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold days with an active promotion (lowest id wins on overlap)."""
+    gold = gold_from_typed(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
+    out = D.active_promotion(gold, RV.promotions(spark, sf_dir), how="inner")
+    return comparable(out)
+
+
+@query("promotion_lift")
+def q_promotion_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lift of each promotion from its discount, the product's elasticity and display."""
+    promos = RV.promotions(spark, sf_dir)
+    products = RV.products(spark, sf_dir).select("sku_id", "price_elasticity")
+    joined = promos.join(products, "sku_id")
+    return joined.select(
+        "promotion_id", "sku_id", "store_id",
+        D.promotion_lift(F.col("discount_pct"), F.col("price_elasticity"), F.col("feature_display"))
+        .alias("promotion_lift"),
+    )
+
+
+@query("calendar_features")
+def q_calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar drivers of every sales day."""
+    days = current_typed(spark, sf_dir).select("business_date").distinct()
+    start = days.select(F.min("business_date")).scalar()
+    return D.calendar_features(days, start)
+
+
+@query("expected_demand")
+def q_expected_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected demand of each gold (store, SKU, day)."""
+    gold = gold_from_typed(spark, sf_dir).select("store_id", "sku_id", "business_date")
+    start = gold.select(F.min("business_date")).scalar()
+    return D.expected_demand(gold, RV.stores(spark, sf_dir), RV.products(spark, sf_dir),
+                             RV.promotions(spark, sf_dir), start)
+
+
+@query("stockout_flags")
+def q_stockout_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inventory cap and stockout flag of each current transaction."""
+    return D.stockout_flags(current_typed(spark, sf_dir))
+
+
+@query("revenue_lines")
+def q_revenue_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effective price and gross / net revenue of each current transaction."""
+    return comparable(D.revenue_lines(current_typed(spark, sf_dir)))

@@ -275,16 +275,7 @@ def _snapshot_rows(df: DataFrame, table: str, key: str, payload: Column, partiti
     return df.select(*_kafka_row(key_json, value, topic_for(table), partition, offset, ts))
 
 
-def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
-               partitions: int = KAFKA_PARTITIONS) -> DataFrame:
-    """The Kafka-shaped change stream of all four retail tables.
-
-    Dimension tables arrive as snapshot reads (``r``); sales as create/update/delete.
-    With ``redeliver`` a content-defined sixth of the sales messages is delivered a
-    second time (same coordinates, later broker timestamp), as at-least-once
-    delivery does after a consumer restart.
-    """
-    base = _sales_base(spark, sf_dir, partitions)
+def _sales_messages(base: DataFrame) -> DataFrame:
     payload = _sales_payload()
     is_delete = F.col("operation") == "d"
     value = _envelope(
@@ -292,18 +283,32 @@ def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
         F.col("operation"), F.col("event_ts_ms"), F.col("source_lsn"), F.lit("false"),
     )
     key_json = F.to_json(F.struct(F.col("transaction_id")))
-    sales = base.select(
+    return base.select(
         *_kafka_row(key_json, value, topic_for("sales_transactions"), F.col("kafka_partition"),
                     F.col("kafka_offset"), F.col("event_ts_ms")),
         F.col("is_redelivered"),
-        F.col("is_promo_row"),
     )
-    log = sales.drop("is_redelivered", "is_promo_row")
+
+
+def redelivered_messages(spark: SparkSession, sf_dir: str, partitions: int = KAFKA_PARTITIONS) -> DataFrame:
+    """The sales messages delivered a second time (same coordinates and bytes, broker
+    timestamp one day later), as at-least-once delivery does after a consumer restart.
+    Which ones is a content rule: l_returnflag = 'A' and l_linestatus = 'F'."""
+    msgs = _sales_messages(_sales_base(spark, sf_dir, partitions)).filter("is_redelivered")
+    return msgs.drop("is_redelivered").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
+
+
+def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
+               partitions: int = KAFKA_PARTITIONS) -> DataFrame:
+    """The Kafka-shaped change stream of all four retail tables.
+
+    Dimension tables arrive as snapshot reads (``r``); sales as create/update/delete.
+    With ``redeliver`` the messages of ``redelivered_messages`` appear twice.
+    """
+    base = _sales_base(spark, sf_dir, partitions)
+    log = _sales_messages(base).drop("is_redelivered")
     if redeliver:
-        again = sales.filter("is_redelivered").drop("is_redelivered", "is_promo_row").withColumn(
-            "timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY")
-        )
-        log = log.unionByName(again)
+        log = log.unionByName(redelivered_messages(spark, sf_dir, partitions))
 
     st = stores(spark, sf_dir)
     st_payload = F.struct(
