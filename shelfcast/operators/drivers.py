@@ -48,7 +48,7 @@ def payday_multiplier(d: Column) -> Column:
 
 def promotion_lift(discount: Column, elasticity: Column, display: Column) -> Column:
     """1 + (discount * elasticity + display lift); no promotion -> 1."""
-    display_lift = F.when(display, F.lit(DISPLAY_LIFT)).otherwise(F.lit(0.0))
+    display_lift = F.when(display.cast("boolean"), F.lit(DISPLAY_LIFT)).otherwise(F.lit(0.0))
     lift = F.lit(1.0) + (discount.cast("double") * elasticity.cast("double") + display_lift)
     return F.when(discount.isNull(), F.lit(1.0)).otherwise(lift)
 
