@@ -23,9 +23,8 @@ def json_parseable(text: Column | str) -> Column:
 
 def variant_to_json(v: Column) -> Column:
     """VARIANT -> canonical text (keys sorted, compact); JSON null -> SQL NULL."""
-    return F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string")).otherwise(
-        F.to_json(v)
-    )
+    # is_variant_null(NULL) is NULL, which also falls through to to_json(NULL) = NULL
+    return F.when(F.is_variant_null(v), F.lit(None).cast("string")).otherwise(F.to_json(v))
 
 
 def canonical_json(text: Column | str) -> Column:

@@ -26,16 +26,21 @@ def _as_ts(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
-def keep_last_per_coordinate(bronze: DataFrame) -> DataFrame:
+def keep_last_per_coordinate(rows: DataFrame, coordinates: list[str] | None = None,
+                             order: list[str] | None = None) -> DataFrame:
     """One row per (topic, partition, offset), the last delivered copy winning.
 
     Spark rows have no input order, so "last" is the latest ``ingested_at``, ties
     broken by the payload text.  Rows with null coordinates group together.
+    ``max_by`` aggregates map-side first, so a hot coordinate never gathers in
+    one task.
     """
-    others = [c for c in bronze.columns if c not in COORDINATES]
-    packed = F.struct(F.col("ingested_at").alias("_o0"), F.col("debezium_value").alias("_o1"), *others)
-    return bronze.groupBy(*COORDINATES).agg(F.max(packed).alias("_w")).select(
-        *[F.col(c) if c in COORDINATES else F.col(f"_w.{c}").alias(c) for c in bronze.columns]
+    coords = coordinates or COORDINATES
+    order = order or ["ingested_at", "debezium_value"]
+    others = [c for c in rows.columns if c not in coords]
+    winner = F.max_by(F.struct(*others), F.struct(*order))
+    return rows.groupBy(*coords).agg(winner.alias("_w")).select(
+        *[F.col(c) if c in coords else F.col(f"_w.{c}").alias(c) for c in rows.columns]
     )
 
 
@@ -50,18 +55,24 @@ def operation_name(op: Column, strict: bool = True) -> Column:
 
 
 def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True) -> DataFrame:
-    """P5-P12 as one projection (the envelope is parsed once per row)."""
-    staged = bronze.withColumn("_v", J.parse("debezium_value"))
+    """P5-P12 as projections over the parsed envelope (parsed once per row)."""
+    staged = bronze.withColumn("_v", J.parse("debezium_value")).withColumn("_k", J.parse("kafka_key"))
     v = F.col("_v")
-    op = J.path(v, "$.op")
-    ts = event_ts_ms(v)
-    event_at = F.timestamp_millis(ts)
+    staged = staged.select(
+        "*",
+        J.path(v, "$.op").alias("_op"),
+        event_ts_ms(v).alias("_ts"),
+        J.sub(v, "$.before").alias("_before"),
+        J.sub(v, "$.after").alias("_after"),
+    )
+    op = F.col("_op")
+    event_at = F.timestamp_millis(F.col("_ts"))
     is_delete = op == "d"
-    record = F.when(is_delete, J.sub(v, "$.before")).otherwise(J.sub(v, "$.after"))
+    record = F.when(is_delete, F.col("_before")).otherwise(F.col("_after"))
     snapshot = F.lower(J.path(v, "$.source.snapshot"))
     out = staged.select(
         F.col("ingest_id").alias("event_id"),
-        J.canonical_json("kafka_key").alias("record_key"),
+        J.variant_to_json(F.col("_k")).alias("record_key"),
         F.coalesce(F.nullif(J.path(v, "$.source.schema"), F.lit("")), F.col("source_schema")).alias("source_schema"),
         F.coalesce(F.nullif(J.path(v, "$.source.table"), F.lit("")), F.col("source_table")).alias("source_table"),
         op.alias("operation"),
@@ -74,7 +85,7 @@ def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True)
         F.col("topic").alias("kafka_topic"),
         F.col("kafka_partition"),
         F.col("kafka_offset"),
-        J.variant_to_json(J.sub(v, "$.before")).alias("before_data"),
+        J.variant_to_json(F.col("_before")).alias("before_data"),
         J.variant_to_json(record).alias("record_data"),
         F.col("ingested_at"),
         _as_ts(loaded_at).alias("silver_loaded_at"),
@@ -82,6 +93,12 @@ def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True)
     return out.select(*[F.col(f.name).cast(f.dataType) for f in SILVER.fields])
 
 
+SILVER_COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
+
+
 def silver_events(bronze: DataFrame, loaded_at: Column | str, strict: bool = True) -> DataFrame:
-    """Bronze -> silver: keep-last per coordinate, then parse (fewer rows to parse)."""
-    return silver_rows(keep_last_per_coordinate(bronze), loaded_at, strict)
+    """Bronze -> silver: each row is parsed once into silver columns, then W1 keeps
+    the last copy per coordinate.  Only text and scalars cross the shuffle, and a
+    later filter on a silver column (e.g. ``source_table``) reads a plain field."""
+    rows = silver_rows(bronze, loaded_at, strict)
+    return keep_last_per_coordinate(rows, SILVER_COORDINATES, ["ingested_at", "record_data", "before_data"])
