@@ -81,15 +81,3 @@ def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, check
         "input_rows": sum(p.get("numInputRows", 0) for p in progress),
         "mode": mode,
     }
-
-
-def streaming_daily_units(stream: DataFrame, delay: str = "2 days") -> DataFrame:
-    """E5: units per (store, SKU, day) over the typed sales stream, finalised
-    once the event-time watermark passes the day."""
-    return (
-        stream.withWatermark("sale_ts", delay)
-        .groupBy(F.window("sale_ts", "1 day").alias("day"), "store_id", "sku_id")
-        .agg(F.sum("units").cast("long").alias("units_sold"), F.count(F.lit(1)).alias("transaction_count"))
-        .select(F.to_date(F.col("day.start")).alias("business_date"), "store_id", "sku_id",
-                "units_sold", "transaction_count")
-    )
