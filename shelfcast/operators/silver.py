@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfcast.functions import json_fns as J
@@ -54,9 +54,16 @@ def operation_name(op: Column, strict: bool = True) -> Column:
     )
 
 
-def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True) -> DataFrame:
-    """P5-P12 as projections over the parsed envelope (parsed once per row)."""
+def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True,
+                observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
+    """P5-P12 as projections over the parsed envelope (parsed once per row).
+
+    ``observe`` attaches gate metrics to this pass: ``(observation, aggregates)``
+    where the aggregates may read the parsed ``_v`` (envelope) and ``_k`` (key).
+    """
     staged = bronze.withColumn("_v", J.parse("debezium_value")).withColumn("_k", J.parse("kafka_key"))
+    if observe:
+        staged = staged.observe(observe[0], *observe[1])
     v = F.col("_v")
     staged = staged.select(
         "*",
@@ -96,9 +103,14 @@ def silver_rows(bronze: DataFrame, loaded_at: Column | str, strict: bool = True)
 SILVER_COORDINATES = ["kafka_topic", "kafka_partition", "kafka_offset"]
 
 
-def silver_events(bronze: DataFrame, loaded_at: Column | str, strict: bool = True) -> DataFrame:
+def silver_events(bronze: DataFrame, loaded_at: Column | str, strict: bool = True,
+                  observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
     """Bronze -> silver: each row is parsed once into silver columns, then W1 keeps
     the last copy per coordinate.  Only text and scalars cross the shuffle, and a
-    later filter on a silver column (e.g. ``source_table``) reads a plain field."""
-    rows = silver_rows(bronze, loaded_at, strict)
+    later filter on a silver column (e.g. ``source_table``) reads a plain field.
+
+    Bronze is hash-partitioned on the coordinates first: keep-last needs exactly
+    that shuffle anyway (it is reused, not repeated), and the per-row JSON work
+    then runs on every shuffle partition however few files bronze was stored in."""
+    rows = silver_rows(bronze.repartition(*COORDINATES), loaded_at, strict, observe)
     return keep_last_per_coordinate(rows, SILVER_COORDINATES, ["ingested_at", "record_data", "before_data"])
