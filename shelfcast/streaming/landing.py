@@ -44,16 +44,18 @@ def dedup_within_watermark(stream: DataFrame, delay: str = "1 day") -> DataFrame
     return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(COORDINATES)
 
 
-def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = True):
-    """foreachBatch writer.  ``overwrite`` applies to the first batch only."""
+def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = True,
+                dedup_horizon_days: int | None = None):
+    """foreachBatch writer.  ``overwrite`` applies to the first batch only.
+    Rows whose ``ingest_id`` is already in bronze are skipped (idempotent replays);
+    ``dedup_horizon_days`` bounds that check to recent landing partitions."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = B.dedup_landing(B.bronze_rows(batch, F.current_timestamp()))
         batch_mode = "overwrite" if (mode == "overwrite" and batch_id == 0) else "append"
         if batch_mode == "append" and dedup_against_table and L.table_exists(spark, path):
-            seen = L.read_lake_table(spark, path).select("ingest_id")
-            rows = rows.join(seen, "ingest_id", "left_anti")
+            rows = rows.join(L.seen_ids(spark, path, "ingest_id", dedup_horizon_days), "ingest_id", "left_anti")
         L.write_lake_table(rows, path, batch_mode, BRONZE_PARTITIONS)
 
     return write
@@ -62,13 +64,13 @@ def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = Tru
 def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, checkpoint: str,
                        mode: str = "append", max_per_trigger: int | None = None,
                        topics: list[str] | None = None, options: dict[str, str] | None = None,
-                       watermark_delay: str | None = "1 day") -> dict:
+                       watermark_delay: str | None = "1 day", dedup_horizon_days: int | None = None) -> dict:
     """Drain the stream into bronze and stop (availableNow)."""
     stream = read_change_stream(spark, source, topics, max_per_trigger, options)
     if watermark_delay:
         stream = dedup_within_watermark(stream, watermark_delay)
     query = (
-        stream.writeStream.foreachBatch(bronze_sink(bronze_path, mode))
+        stream.writeStream.foreachBatch(bronze_sink(bronze_path, mode, dedup_horizon_days=dedup_horizon_days))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
