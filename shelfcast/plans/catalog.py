@@ -25,7 +25,7 @@ from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
 from shelfcast.plans import jobs as JOBS
 from shelfcast.schemas import SALES_TRANSACTIONS
-from shelfcast.session import apply_required_conf, scratch_path
+from shelfcast.session import apply_required_conf, scratch_path, shared_root
 from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
 from shelfcast.streaming import landing as STREAM
@@ -106,13 +106,25 @@ def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def panel_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FC.demand_panel(gold_from_typed(spark, sf_dir))
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold materialised once under the shared checkpoint folder.
 
+    Forecast and driver queries read gold several times (calendar bounds, the
+    holdout window, the panel itself), exactly as they would read the stored gold
+    table; checkpointing cuts the lineage so none of those re-derives gold."""
+    shared_root(spark)
+    return gold_from_typed(spark, sf_dir).checkpoint(eager=True)
 
-def window_scalars(panel: DataFrame, holdout: int = FC.HOLDOUT_DAYS):
-    """test_start / test_end of the holdout as scalar subqueries (no driver round trip)."""
-    hi = panel.select(F.max(FC.DATE)).scalar()
+
+def panel_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    gold = gold_table(spark, sf_dir)
+    return FC.demand_panel(gold), gold
+
+
+def window_scalars(gold: DataFrame, holdout: int = FC.HOLDOUT_DAYS):
+    """test_start / test_end of the holdout as scalar subqueries over gold (the
+    panel's last day is gold's last day)."""
+    hi = gold.select(F.max(F.to_date(FC.DATE))).scalar()
     return F.date_sub(hi, holdout - 1), hi
 
 
@@ -248,7 +260,8 @@ def q_gold_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("gold_summary")
 def q_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows, current transactions, gold rows and gold date range."""
-    silver = silver_table(spark, sf_dir)
+    shared_root(spark)
+    silver = silver_table(spark, sf_dir).checkpoint(eager=True)
     current = G.current_transactions(silver)
     gold = G.gold_daily_demand(current, RV.AS_OF)
     return gold.agg(
@@ -357,20 +370,20 @@ def q_load_retail_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("demand_panel")
 def q_demand_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense series x calendar panel, zero-filled."""
-    return panel_of(spark, sf_dir)
+    return panel_of(spark, sf_dir)[0]
 
 
 @query("evaluation_window")
 def q_evaluation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holdout window derived from the data."""
-    return FC.evaluation_window(panel_of(spark, sf_dir))
+    return FC.evaluation_window(panel_of(spark, sf_dir)[0])
 
 
 @query("train_test_split")
 def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, series and date bounds of each split."""
-    panel = panel_of(spark, sf_dir)
-    start, end = window_scalars(panel)
+    panel, gold = panel_of(spark, sf_dir)
+    start, end = window_scalars(gold)
     train, test = FC.split(panel, start, end)
 
     def stats(df: DataFrame, name: str) -> DataFrame:
@@ -385,8 +398,8 @@ def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("trailing_mean")
 def q_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of each series' last season of train."""
-    panel = panel_of(spark, sf_dir)
-    start, end = window_scalars(panel)
+    panel, gold = panel_of(spark, sf_dir)
+    start, end = window_scalars(gold)
     train, _ = FC.split(panel, start, end)
     return FC.trailing_mean(train)
 
@@ -394,14 +407,12 @@ def q_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("seasonal_naive")
 def q_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seasonal-naive forecast frame of the holdout."""
-    panel = panel_of(spark, sf_dir)
-    start, end = window_scalars(panel)
-    return FC.seasonal_naive(panel, start, end)
+    return _forecasts(spark, sf_dir)
 
 
 def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel = panel_of(spark, sf_dir)
-    start, end = window_scalars(panel)
+    panel, gold = panel_of(spark, sf_dir)
+    start, end = window_scalars(gold)
     return FC.seasonal_naive(panel, start, end)
 
 
@@ -426,7 +437,7 @@ def q_pinball_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("baseline_evaluation")
 def q_baseline_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M8/M2: checked end-to-end evaluation: window, panel size, forecasts, metrics."""
-    panel = panel_of(spark, sf_dir)
+    panel, _ = panel_of(spark, sf_dir)
     window = FC.evaluation_window(panel).first()
     FC.validate_evaluation_window(window)
     fc = FC.seasonal_naive(panel, window["test_start"], window["test_end"])
@@ -446,7 +457,7 @@ def q_baseline_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("active_promotion")
 def q_active_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold days with an active promotion (lowest id wins on overlap)."""
-    gold = gold_from_typed(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
+    gold = gold_table(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
     out = D.active_promotion(gold, RV.promotions(spark, sf_dir), how="inner")
     return comparable(out)
 
@@ -467,7 +478,7 @@ def q_promotion_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("calendar_features")
 def q_calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar drivers of every sales day."""
-    days = current_typed(spark, sf_dir).select("business_date").distinct()
+    days = gold_table(spark, sf_dir).select("business_date").distinct()
     start = days.select(F.min("business_date")).scalar()
     return D.calendar_features(days, start)
 
@@ -475,7 +486,7 @@ def q_calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("expected_demand")
 def q_expected_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected demand of each gold (store, SKU, day)."""
-    gold = gold_from_typed(spark, sf_dir).select("store_id", "sku_id", "business_date")
+    gold = gold_table(spark, sf_dir).select("store_id", "sku_id", "business_date")
     start = gold.select(F.min("business_date")).scalar()
     return D.expected_demand(gold, RV.stores(spark, sf_dir), RV.products(spark, sf_dir),
                              RV.promotions(spark, sf_dir), start)
