@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.json_fns import path
 
+
 def epoch() -> Column:
+    """1970-01-01, the origin of epoch-day payload dates."""
     return F.lit("1970-01-01").cast("date")
 
 
@@ -27,15 +29,6 @@ def variant_timestamp(v: Column, json_path: str) -> Column:
     return F.try_to_timestamp(path(v, json_path, "string"))
 
 
-def millis_to_timestamp(ms: Column) -> Column:
-    return F.timestamp_millis(ms)
-
-
-def to_wall_clock(ts: Column) -> Column:
-    """UTC timestamp -> zone-less timestamp with the same UTC wall clock."""
-    return F.convert_timezone(F.lit("UTC"), F.lit("UTC"), ts).cast("timestamp_ntz")
-
-
 def iso_utc_text(ts: Column) -> Column:
     """Timestamp -> ``YYYY-MM-DDTHH:MM:SSZ`` text as a connector emits it."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -15,12 +15,6 @@ def parse(text: Column | str) -> Column:
     return F.try_parse_json(_col(text))
 
 
-def json_parseable(text: Column | str) -> Column:
-    """True when the text is valid JSON, NULL when the text is NULL."""
-    t = _col(text)
-    return F.when(t.isNull(), F.lit(None)).otherwise(F.try_parse_json(t).isNotNull())
-
-
 def variant_to_json(v: Column) -> Column:
     """VARIANT -> canonical text (keys sorted, compact); JSON null -> SQL NULL."""
     # is_variant_null(NULL) is NULL, which also falls through to to_json(NULL) = NULL
@@ -40,9 +34,3 @@ def path(v: Column, json_path: str, type_name: str = "string") -> Column:
 def sub(v: Column, json_path: str) -> Column:
     """Sub-document at a JSON path as VARIANT."""
     return F.try_variant_get(v, json_path, "variant")
-
-
-def valid_utf8(binary: Column | str) -> Column:
-    """Strict decode check: Spark's binary->string cast substitutes U+FFFD silently."""
-    b = _col(binary)
-    return F.when(b.isNull(), F.lit(None)).otherwise(F.is_valid_utf8(b.cast("string")))
