@@ -9,9 +9,10 @@ written, so a restart resumes without loss; the sink is idempotent on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.config import LandingSettings
 from shelfcast.operators import bronze as B
 from shelfcast.plans.jobs import BRONZE_PARTITIONS
 from shelfcast.schemas import KAFKA_ROW
@@ -20,6 +21,15 @@ from shelfcast.sources import lakehouse as L
 COORDINATES = ["topic", "partition", "offset"]
 
 
+def land_with_settings(spark: SparkSession, settings: LandingSettings, topics: list[str] | None = None,
+                       options: dict[str, str] | None = None) -> dict:
+    """S2 with the model's knobs: batch size, message cap, write mode."""
+    return land_bronze_stream(spark, settings.source, settings.bronze_path, settings.checkpoint, settings.mode,
+                              max_per_trigger=settings.batch_size if settings.source == "kafka" else 1,
+                              topics=topics, options=options, dedup_horizon_days=settings.dedup_horizon_days,
+                              max_messages=settings.max_messages)
+
+
 def read_change_stream(spark: SparkSession, source: str, topics: list[str] | None = None,
                        max_per_trigger: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """The change stream.  ``source`` is ``kafka`` (with ``kafka.bootstrap.servers``
@@ -50,13 +60,18 @@ def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = Tru
     Rows whose ``ingest_id`` is already in bronze are skipped (idempotent replays);
     ``dedup_horizon_days`` bounds that check to recent landing partitions."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> int:
         spark = batch.sparkSession
         rows = B.dedup_landing(B.bronze_rows(batch, F.current_timestamp()))
         batch_mode = "overwrite" if (mode == "overwrite" and batch_id == 0) else "append"
         if batch_mode == "append" and dedup_against_table and L.table_exists(spark, path):
             rows = rows.join(L.seen_ids(spark, path, "ingest_id", dedup_horizon_days), "ingest_id", "left_anti")
-        L.write_lake_table(rows, path, batch_mode, BRONZE_PARTITIONS)
+        obs = Observation("landed")
+        L.write_lake_table(rows.observe(obs, F.count(F.lit(1)).alias("rows")), path, batch_mode, BRONZE_PARTITIONS)
+        try:
+            return int(obs.get["rows"])
+        except Exception:  # noqa: BLE001 - an empty batch reports no observation
+            return 0
 
     return write
 
@@ -64,17 +79,36 @@ def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = Tru
 def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, checkpoint: str,
                        mode: str = "append", max_per_trigger: int | None = None,
                        topics: list[str] | None = None, options: dict[str, str] | None = None,
-                       watermark_delay: str | None = "1 day", dedup_horizon_days: int | None = None) -> dict:
-    """Drain the stream into bronze and stop (availableNow)."""
+                       watermark_delay: str | None = "1 day", dedup_horizon_days: int | None = None,
+                       max_messages: int | None = None) -> dict:
+    """Drain the stream into bronze and stop (availableNow).
+
+    With ``max_messages`` the drain also stops after the first committed
+    micro-batch that brings the total to at least that many rows.
+    """
     stream = read_change_stream(spark, source, topics, max_per_trigger, options)
     if watermark_delay:
         stream = dedup_within_watermark(stream, watermark_delay)
+    landed = {"rows": 0, "done": False}
+    sink = bronze_sink(bronze_path, mode, dedup_horizon_days=dedup_horizon_days)
+
+    def bounded(batch: DataFrame, batch_id: int) -> None:
+        if landed["done"]:
+            return
+        landed["rows"] += sink(batch, batch_id)
+        if max_messages is not None and landed["rows"] >= max_messages:
+            landed["done"] = True
+
     query = (
-        stream.writeStream.foreachBatch(bronze_sink(bronze_path, mode, dedup_horizon_days=dedup_horizon_days))
+        stream.writeStream.foreachBatch(bounded if max_messages is not None else sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    while query.isActive and not landed["done"]:
+        query.awaitTermination(0.2)
+    if query.isActive:
+        query.stop()
     query.awaitTermination()
     progress = query.recentProgress
     return {

@@ -120,3 +120,28 @@ def test_driver_contract(spark):
     assert df.count() > 0
     assert {"store_id", "sku_id", "business_date", "units_sold"} <= set(df.columns)
     assert os.path.isdir("/root/testdata/sf0.001")
+
+
+def test_stream_landing_stops_at_message_cap(spark):
+    batches = [[kafka_row(STORES, 0, b * 10 + i, None, envelope("stores", "r", {"i": i})) for i in range(5)]
+               for b in range(4)]
+    src = _write_source(spark, batches)
+    bronze = scratch_path(spark, "test_bronze")
+    out = STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "test_ckpt"), max_per_trigger=1,
+                                    watermark_delay=None, max_messages=7)
+    landed = L.read_lake_table(spark, bronze).count()
+    assert 7 <= landed <= 10 and out["batches"] <= 2
+
+
+def test_evaluate_baseline_writes_outputs(spark):
+    from shelfcast.plans import jobs as JOBS
+
+    rows = [("S1", "K1", date(2025, 1, 1) + timedelta(days=i), float(i % 7 + 1)) for i in range(40)]
+    gold = spark.createDataFrame(rows, "store_id string, sku_id string, business_date date, units_sold double")
+    out_dir = scratch_path(spark, "test_eval")
+    summary = JOBS.evaluate_baseline(gold, output_dir=out_dir)
+    assert summary["metrics"]["rows"] == 28 and summary["metrics"]["mae"] == 0.0
+    assert summary["date_range"]["test_start"] == date(2025, 1, 13)
+    assert spark.read.option("header", True).csv(os.path.join(out_dir, "seasonal_naive_forecasts")).count() == 28
+    metrics = spark.read.json(os.path.join(out_dir, "seasonal_naive_metrics")).first()
+    assert metrics["rows"] == 28
