@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,16 +117,17 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_from_typed(spark, sf_dir).checkpoint(eager=True)
 
 
-def panel_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def panel_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
+    """Panel over checkpointed gold, with its calendar bounds (two dates)."""
     gold = gold_table(spark, sf_dir)
-    return FC.demand_panel(gold), gold
+    bounds = FC.calendar_bounds(gold)
+    return FC.demand_panel(gold, bounds), bounds
 
 
-def window_scalars(gold: DataFrame, holdout: int = FC.HOLDOUT_DAYS):
-    """test_start / test_end of the holdout as scalar subqueries over gold (the
-    panel's last day is gold's last day)."""
-    hi = gold.select(F.max(F.to_date(FC.DATE))).scalar()
-    return F.date_sub(hi, holdout - 1), hi
+def window_scalars(bounds: tuple, holdout: int = FC.HOLDOUT_DAYS):
+    """test_start / test_end of the holdout: the panel's last day and holdout-1 before."""
+    hi = bounds[1]
+    return hi - timedelta(days=holdout - 1), hi
 
 
 # --------------------------------------------------------- bronze / landing
@@ -382,8 +384,8 @@ def q_evaluation_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("train_test_split")
 def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, series and date bounds of each split."""
-    panel, gold = panel_of(spark, sf_dir)
-    start, end = window_scalars(gold)
+    panel, bounds = panel_of(spark, sf_dir)
+    start, end = window_scalars(bounds)
     train, test = FC.split(panel, start, end)
 
     def stats(df: DataFrame, name: str) -> DataFrame:
@@ -398,8 +400,8 @@ def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("trailing_mean")
 def q_trailing_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of each series' last season of train."""
-    panel, gold = panel_of(spark, sf_dir)
-    start, end = window_scalars(gold)
+    panel, bounds = panel_of(spark, sf_dir)
+    start, end = window_scalars(bounds)
     train, _ = FC.split(panel, start, end)
     return FC.trailing_mean(train)
 
@@ -411,8 +413,8 @@ def q_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panel, gold = panel_of(spark, sf_dir)
-    start, end = window_scalars(gold)
+    panel, bounds = panel_of(spark, sf_dir)
+    start, end = window_scalars(bounds)
     return FC.seasonal_naive(panel, start, end)
 
 
