@@ -35,6 +35,9 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor; 1g default heap thrashes
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
