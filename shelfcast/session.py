@@ -62,10 +62,12 @@ def shared_root(spark: SparkSession) -> str:
     On a cluster this is set by the platform and is visible to every executor.
     Only when it is unset (local tests) do we pick a fresh local folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

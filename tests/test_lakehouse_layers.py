@@ -189,3 +189,10 @@ def test_latest_per_key_plan_has_partial_aggregation(spark):
     plan = G.current_transactions(_silver(spark, rows))._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan
     assert F is not None
+
+
+def test_duplicate_json_keys_keep_the_last_value(spark):
+    from shelfcast.functions.json_fns import canonical_json
+
+    df = spark.createDataFrame([('{"a": 1, "a": 2}',)], "s string")
+    assert df.select(canonical_json("s")).first()[0] == '{"a":2}'
