@@ -96,14 +96,21 @@ def current_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.current_from_typed_events(RV.sales_change_events(spark, sf_dir))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Stand-in for a stored table: materialised once under the shared checkpoint
+    folder, so queries that aggregate it several ways do not re-derive it."""
+    shared_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def retail_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The four retail tables in their current state."""
     sales_cols = [f.name for f in SALES_TRANSACTIONS.fields]
     return {
         "stores": RV.stores(spark, sf_dir),
         "products": RV.products(spark, sf_dir),
-        "promotions": RV.promotions(spark, sf_dir),
-        "sales_transactions": current_typed(spark, sf_dir).select(*sales_cols),
+        "promotions": stored(RV.promotions(spark, sf_dir)),
+        "sales_transactions": stored(current_typed(spark, sf_dir).select(*sales_cols)),
     }
 
 
@@ -113,8 +120,7 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Forecast and driver queries read gold several times (calendar bounds, the
     holdout window, the panel itself), exactly as they would read the stored gold
     table; checkpointing cuts the lineage so none of those re-derives gold."""
-    shared_root(spark)
-    return gold_from_typed(spark, sf_dir).checkpoint(eager=True)
+    return stored(gold_from_typed(spark, sf_dir))
 
 
 def panel_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
@@ -262,8 +268,7 @@ def q_gold_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("gold_summary")
 def q_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows, current transactions, gold rows and gold date range."""
-    shared_root(spark)
-    silver = silver_table(spark, sf_dir).checkpoint(eager=True)
+    silver = stored(silver_table(spark, sf_dir))
     current = G.current_transactions(silver)
     gold = G.gold_daily_demand(current, RV.AS_OF)
     return gold.agg(
@@ -313,13 +318,13 @@ def q_lakehouse_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bronze_quality")
 def q_bronze_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1-D11 over bronze after a redelivery: the uniqueness expectation fails."""
-    return Q.evaluate(landed_bronze_with_redelivery(spark, sf_dir), Q.bronze_to_silver_suite())
+    return Q.evaluate(stored(landed_bronze_with_redelivery(spark, sf_dir)), Q.bronze_to_silver_suite())
 
 
 @query("silver_quality")
 def q_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D1-D11 over silver."""
-    return Q.evaluate(silver_table(spark, sf_dir), Q.silver_to_gold_suite())
+    return Q.evaluate(stored(silver_table(spark, sf_dir)), Q.silver_to_gold_suite())
 
 
 @query("constraint_report")
