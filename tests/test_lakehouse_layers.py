@@ -196,3 +196,15 @@ def test_duplicate_json_keys_keep_the_last_value(spark):
 
     df = spark.createDataFrame([('{"a": 1, "a": 2}',)], "s string")
     assert df.select(canonical_json("s")).first()[0] == '{"a":2}'
+
+
+def test_hot_key_resolves_through_partial_aggregation(spark):
+    # one transaction holds 300 of 330 events, spread over 8 input partitions
+    hot = [_sale(i, "txn-hot", op="c" if i == 0 else "u", minute=i % 60, lsn=i, units=i + 1) for i in range(300)]
+    cold = [_sale(1000 + i, f"txn-{i}", units=1) for i in range(30)]
+    kafka = _kafka(spark, hot + cold).repartition(8)
+    current = G.current_transactions(S.silver_events(B.bronze_rows(kafka, AS_OF), AS_OF))
+    rows = {r["transaction_id"]: r["units"] for r in current.collect()}
+    assert len(rows) == 31
+    # latest = greatest event time (minute 59), then greatest LSN among those: i = 299
+    assert rows["txn-hot"] == 300
