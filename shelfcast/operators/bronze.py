@@ -61,11 +61,11 @@ def bronze_rows(kafka: DataFrame, ingested_at: Column | str) -> DataFrame:
 def dedup_landing(bronze: DataFrame) -> DataFrame:
     """One row per ``ingest_id`` (i.e. per Kafka coordinate), keeping the latest landing.
 
-    Exactly-once-like landing over an at-least-once source.  ``max(struct)``
+    Exactly-once-like landing over an at-least-once source.  ``max_by``
     aggregates partially before the shuffle, so a hot id never gathers in one task.
     """
     others = [c for c in bronze.columns if c != "ingest_id"]
-    packed = F.struct(F.col("ingested_at").alias("_o0"), F.col("debezium_value").alias("_o1"), *others)
-    return bronze.groupBy("ingest_id").agg(F.max(packed).alias("_w")).select(
+    winner = F.max_by(F.struct(*others), F.struct("ingested_at", "debezium_value"))
+    return bronze.groupBy("ingest_id").agg(winner.alias("_w")).select(
         *[F.col("ingest_id") if c == "ingest_id" else F.col(f"_w.{c}").alias(c) for c in bronze.columns]
     )
