@@ -298,17 +298,48 @@ def redelivered_messages(spark: SparkSession, sf_dir: str, partitions: int = KAF
     return msgs.drop("is_redelivered").withColumn("timestamp", F.col("timestamp") + F.expr("INTERVAL 1 DAY"))
 
 
+def _promotion_payload() -> Column:
+    return F.struct(
+        F.concat(F.lit("campaign-"), F.year("business_date").cast("string")).alias("campaign_name"),
+        F.col("discount_pct").cast("string").alias("discount_pct"),
+        F.datediff("promo_end_date", epoch()).alias("end_date"),
+        F.col("promo_feature_display").alias("feature_display"),
+        F.col("promotion_id"),
+        F.col("sku_id"),
+        F.datediff("business_date", epoch()).alias("start_date"),
+        F.col("store_id"),
+    )
+
+
 def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
                partitions: int = KAFKA_PARTITIONS) -> DataFrame:
     """The Kafka-shaped change stream of all four retail tables.
 
     Dimension tables arrive as snapshot reads (``r``); sales as create/update/delete.
-    With ``redeliver`` the messages of ``redelivered_messages`` appear twice.
+    Every lineitem row yields its messages in one pass (its sales event, the
+    snapshot of the promotion it defines, and with ``redeliver`` the second copy
+    of a redelivered message), so the row source is scanned and joined once.
     """
     base = _sales_base(spark, sf_dir, partitions)
-    log = _sales_messages(base).drop("is_redelivered")
+    payload = _sales_payload()
+    is_delete = F.col("operation") == "d"
+    sale_value = _envelope(
+        F.when(is_delete, payload), F.when(~is_delete, payload), "sales_transactions",
+        F.col("operation"), F.col("event_ts_ms"), F.col("source_lsn"), F.lit("false"),
+    )
+    sale = _kafka_row(F.to_json(F.struct(F.col("transaction_id"))), sale_value, topic_for("sales_transactions"),
+                      F.col("kafka_partition"), F.col("kafka_offset"), F.col("event_ts_ms"))
+    snap_ts = F.unix_millis(_ts(SNAPSHOT_AT))
+    promo_value = _envelope(F.lit(None), _promotion_payload(), "promotions", F.lit("r"), snap_ts, snap_ts,
+                            F.lit("true"))
+    promo = _kafka_row(F.to_json(F.struct(F.col("promotion_id"))), promo_value, topic_for("promotions"),
+                       F.col("kafka_partition"), F.col("kafka_offset"), snap_ts)
+    messages = [F.struct(*sale), F.when(F.col("is_promo_row"), F.struct(*promo))]
     if redeliver:
-        log = log.unionByName(redelivered_messages(spark, sf_dir, partitions))
+        # same coordinates and bytes, broker timestamp one day later
+        redelivered = F.struct(*sale[:5], (sale[5] + F.expr("INTERVAL 1 DAY")).alias("timestamp"), sale[6])
+        messages.append(F.when(F.col("is_redelivered"), redelivered))
+    log = base.select(F.explode(F.filter(F.array(*messages), lambda m: m.isNotNull())).alias("m")).select("m.*")
 
     st = stores(spark, sf_dir)
     st_payload = F.struct(
@@ -339,20 +370,4 @@ def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
         F.lit(0), F.col("_off"),
     )
 
-    promos = base.filter("is_promo_row").select(
-        F.col("promotion_id"), F.col("sku_id"), F.col("store_id"),
-        F.col("business_date").alias("start_date"), F.col("promo_end_date").alias("end_date"),
-        F.col("discount_pct"), F.col("promo_feature_display").alias("feature_display"),
-        F.concat(F.lit("campaign-"), F.year("business_date").cast("string")).alias("campaign_name"),
-        F.col("kafka_partition"), F.col("kafka_offset"),
-    )
-    promo_payload = F.struct(
-        "promotion_id", "sku_id", "store_id",
-        F.datediff("start_date", epoch()).alias("start_date"),
-        F.datediff("end_date", epoch()).alias("end_date"),
-        F.col("discount_pct").cast("string").alias("discount_pct"),
-        "feature_display", "campaign_name",
-    )
-    promo_rows = _snapshot_rows(promos, "promotions", "promotion_id", promo_payload,
-                                F.col("kafka_partition"), F.col("kafka_offset"))
-    return log.unionByName(st_rows).unionByName(pr_rows).unionByName(promo_rows)
+    return log.unionByName(st_rows).unionByName(pr_rows)
