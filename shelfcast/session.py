@@ -34,7 +34,14 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**REQUIRED_CONF, **ADAPTIVE_CONF, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    conf = {
+        **REQUIRED_CONF,
+        **ADAPTIVE_CONF,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        # checkpointed stand-ins for stored tables are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor; 1g default heap thrashes
         conf["spark.driver.memory"] = "8g"
