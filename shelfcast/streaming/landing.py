@@ -19,6 +19,7 @@ from shelfcast.schemas import KAFKA_ROW
 from shelfcast.sources import lakehouse as L
 
 COORDINATES = ["topic", "partition", "offset"]
+CAP_REACHED = "bronze landing reached max_messages"
 
 
 def land_with_settings(spark: SparkSession, settings: LandingSettings, topics: list[str] | None = None,
@@ -93,8 +94,11 @@ def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, check
     sink = bronze_sink(bronze_path, mode, dedup_horizon_days=dedup_horizon_days)
 
     def bounded(batch: DataFrame, batch_id: int) -> None:
+        # A batch that starts after the cap was reached must not be committed (its
+        # messages would be lost to the next run), so it fails with a sentinel: the
+        # query stops with its offsets uncommitted and the next run resumes there.
         if landed["done"]:
-            return
+            raise RuntimeError(CAP_REACHED)
         landed["rows"] += sink(batch, batch_id)
         if max_messages is not None and landed["rows"] >= max_messages:
             landed["done"] = True
@@ -105,11 +109,15 @@ def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, check
         .trigger(availableNow=True)
         .start()
     )
-    while query.isActive and not landed["done"]:
-        query.awaitTermination(0.2)
-    if query.isActive:
-        query.stop()
-    query.awaitTermination()
+    try:
+        while query.isActive and not landed["done"]:
+            query.awaitTermination(0.2)
+        if query.isActive:
+            query.stop()
+        query.awaitTermination()
+    except Exception as exc:  # noqa: BLE001 - only the cap sentinel is a clean stop
+        if CAP_REACHED not in str(exc):
+            raise
     progress = query.recentProgress
     return {
         "table_uri": bronze_path,

@@ -126,11 +126,14 @@ def test_stream_landing_stops_at_message_cap(spark):
     batches = [[kafka_row(STORES, 0, b * 10 + i, None, envelope("stores", "r", {"i": i})) for i in range(5)]
                for b in range(4)]
     src = _write_source(spark, batches)
-    bronze = scratch_path(spark, "test_bronze")
-    out = STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "test_ckpt"), max_per_trigger=1,
+    bronze, ckpt = scratch_path(spark, "test_bronze"), scratch_path(spark, "test_ckpt")
+    out = STREAM.land_bronze_stream(spark, src, bronze, ckpt, max_per_trigger=1,
                                     watermark_delay=None, max_messages=7)
     landed = L.read_lake_table(spark, bronze).count()
     assert 7 <= landed <= 10 and out["batches"] <= 2
+    # nothing was skipped: the next run resumes where the capped run stopped
+    STREAM.land_bronze_stream(spark, src, bronze, ckpt, max_per_trigger=1, watermark_delay=None)
+    assert L.read_lake_table(spark, bronze).count() == 20
 
 
 def test_evaluate_baseline_writes_outputs(spark):
