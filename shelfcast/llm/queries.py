@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, decontaminate, packing, warc
+from shelfcast.llm import bitplanes, decontaminate, packing, simhash, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -59,3 +59,10 @@ def op7_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = scratch_path(spark, "llm", "bitplanes")
     bitplanes.write_ids(C.table(spark, sf_dir, "documents"), target)
     return bitplanes.document_checksums(spark, target)
+
+
+@query
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents at 4 differing bits."""
+    found = simhash.near_duplicates(C.table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
