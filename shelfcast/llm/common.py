@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -53,6 +54,12 @@ def persisted(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of phases whose result is already written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def arrow_type(dt: T.DataType) -> pa.DataType:
     from pyspark.sql.pandas.types import to_arrow_type
 
@@ -106,12 +113,17 @@ def split_points(df: DataFrame, keys: list[str], parts: int, seed: int = 7) -> l
     return sorted(set(picks))
 
 
-def range_bucket(points: list[tuple], keys: list[str]):
-    """Column: number of split points at or below the row's key (nulls go first, bucket 0)."""
+def plain_keys(df: DataFrame, keys: list[str]) -> list:
+    """Key columns with nulls filled (so that pandas keeps integers) and, last, whether any was null."""
+    fill = {f.name: "" if isinstance(f.dataType, T.StringType) else 0 for f in df.schema.fields}
+    some = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return [*[F.coalesce(F.col(k), F.lit(fill[k])) for k in keys], some]
+
+
+def range_bucket(df: DataFrame, points: list[tuple], keys: list[str]):
+    """Column: number of split points at or below the row's key (rows with a null key: 0)."""
     if not points:
         return F.lit(0)
-    order = {p: i for i, p in enumerate(points)}
-    spots = sorted(order)
 
     @F.pandas_udf("int")
     def bucket(*cols):
@@ -119,13 +131,11 @@ def range_bucket(points: list[tuple], keys: list[str]):
 
         import pandas as pd
 
-        out = np.zeros(len(cols[0]), dtype=np.int32)
-        for i, key in enumerate(zip(*[c.tolist() for c in cols], strict=True)):
-            if not any(v is None or v != v for v in key):
-                out[i] = bisect.bisect_right(spots, key)
-        return pd.Series(out)
+        *values, some = [c.tolist() for c in cols]
+        return pd.Series([0 if null else bisect.bisect_right(points, key)
+                          for null, key in zip(some, zip(*values, strict=True), strict=True)], dtype="int32")
 
-    return bucket(*[F.col(k) for k in keys])
+    return bucket(*plain_keys(df, keys))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

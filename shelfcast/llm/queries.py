@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, decontaminate, packing, simhash, warc
+from shelfcast.llm import bitplanes, decontaminate, multiset, packing, repeats, simhash, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -66,3 +66,15 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents at 4 differing bits."""
     found = simhash.near_duplicates(C.table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset fingerprints of every document and its edited text."""
+    return multiset.edited_fingerprints(C.table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 200-byte string that starts anywhere else."""
+    return repeats.removal_report(C.table(spark, sf_dir, "documents"))
