@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, decontaminate, multiset, packing, repeats, simhash, warc
+from shelfcast.llm import bitplanes, decontaminate, multiset, packing, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -78,3 +78,13 @@ def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document covered by a 200-byte string that starts anywhere else."""
     return repeats.removal_report(C.table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document by a model learned outside fold 2."""
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, C.table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(toxicity.fold("doc_id") == 2, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
