@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, decontaminate, multiset, packing, repeats, simhash, toxicity, warc
+from shelfcast.llm import bitplanes, ctw, decontaminate, multiset, packing, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -88,3 +88,9 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", F.coalesce(toxicity.fold("doc_id") == 2, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree weighting scores of every document, learned outside the held-out fold."""
+    return ctw.score(C.table(spark, sf_dir, "documents"))
