@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import common as C
 
-DEPTH = 4
+DEPTH = 5
 BLOCK_BYTES = 32 << 20
 SLICE = 2 << 20
 MARK = 0xFF  # in no UTF-8 text: padding before the start and the end symbol
