@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, ctw, decontaminate, multiset, packing, repeats, simhash, toxicity, warc
+from shelfcast.llm import bitplanes, ctw, decontaminate, multiset, packing, pagediff, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -94,3 +94,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Context-tree weighting scores of every document, learned outside the held-out fold."""
     return ctw.score(C.table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by differencing with its nearest page."""
+    found = pagediff.extract(C.table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", "n_chars", "n_shared", "n_markup")
