@@ -11,7 +11,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common as C
-from shelfcast.llm import decontaminate, packing
+from shelfcast.llm import decontaminate, packing, repeats, simhash, toxicity
+
+
+def toxic_rejects(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored toxic go; the model learns from the labelled rows among ``docs``."""
+    C.prepare(spark)
+    return toxicity.drop_toxic(docs, C.table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (smallest id) of every SimHash component stays."""
+    C.prepare(spark)
+    return simhash.keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 200-byte string that starts anywhere else are cut from the texts; ``n_chars`` follows."""
+    C.prepare(spark)
+    return repeats.remove_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +45,14 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("decontamination", decontamination),
+    ("toxicity", toxic_rejects),
+    ("simhash-near-dedup", near_duplicates),
+    ("suffix-array-dedup", repeated_passages),
+    ("benchmark-decontamination", decontamination),
     ("packing", pack_sequences),
 ]
 
-# tokenisation has no SQL form; tests compare run() with a brute-force version
+# fitting, suffix ranks and tokenisation have no SQL form; tests compare run() with a brute-force version
 ORACLE_SQL = None
 
 
