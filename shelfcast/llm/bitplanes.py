@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.llm import common as C
 from shelfcast.llm.tokens import doc_ids, tokenizer_path
 
 BLOCK_IDS = 1 << 16
@@ -146,7 +147,7 @@ def document_checksums(spark: SparkSession, source: str) -> DataFrame:
     def joined(parts):
         return parts.map(lambda ps: join_checksums([(4 * p["length"], p["crc"]) for p in ps]))
 
-    segments = read_ids(spark, source).withColumn("crc", crc("ids")).drop("ids")
+    segments = C.persisted(read_ids(spark, source).withColumn("crc", crc("ids")).drop("ids"), "bitplanes-segments")
     whole = F.col("length") == F.col("n_tokens")
     key = ["shard", "row", "doc_id", "start", "n_tokens"]
     spanning = (segments.where(~whole).groupBy(*key)
