@@ -19,7 +19,8 @@ import numpy as np
 # No space before what follows (a piece's leading space is implied otherwise).
 _BARE = "\x01"
 _BREAK = " \x01\n \x01"
-_ODD = re.compile(r"\s(?:\s|\Z)|\x01")
+_ODD = re.compile(r"[ \n](?:\s|\Z)|\A\s|\x01")
+_WORD_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
 END_ID = 0
 
 
@@ -29,65 +30,126 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class OddSpace(Exception):
+    """A text has a run of white space that pieces cannot express."""
+
+
+class Pieces(dict):
+    """piece -> row; a new piece gets the next row and is noted in ``fresh``."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        body = piece[1:] if piece[:1] == _BARE else piece
+        if piece != "\x01\n" and (not body or body[0].isspace()):
+            raise OddSpace
+        row = self[piece] = len(self)
+        self.fresh.append(piece)
+        return row
+
+
 class PieceEncoder:
     """``encode(texts)`` -> ids per text, those of ``encode(text, add_special_tokens=False)``."""
 
-    def __init__(self, path: str, capacity: int = 600_000, longest: int = 120):
+    def __init__(self, path: str, capacity: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.capacity, self.longest = capacity, longest
-        self.reset()
-
-    def reset(self) -> None:
-        # piece -> row of starts/sizes, a range of flat
-        self.pieces: dict[str, int] = {}
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        # the printable stand-in of each byte, as the model sees words
+        self.letters = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        self.letters |= {b: level.pre_tokenize_str(chr(c))[0][0][i] for c in range(0x80, 0x800) for i, b in enumerate(chr(c).encode())}
+        self.letters |= {b: self._stand_in(level, b) for b in range(0xE0, 0xF5)}
+        self.capacity = capacity
+        self.pieces, self.marks = Pieces(), {"": []}
         self.flat = np.zeros(0, dtype=np.uint32)
-        self.starts = np.zeros(0, dtype=np.int64)
-        self.sizes = np.zeros(0, dtype=np.int64)
+        self.starts, self.sizes, self.hits = (np.zeros(0, dtype=np.int64) for _ in range(3))
+
+    @staticmethod
+    def _stand_in(level, lead: int) -> str:
+        text = bytes([lead, *([0xA0, 0x80] if lead < 0xF0 else [0x90 if lead == 0xF0 else 0x80, 0x80, 0x80])])
+        if lead == 0xED:
+            text = bytes([lead, 0x80, 0x80])
+        return level.pre_tokenize_str(text.decode())[0][0][0]
 
     def raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _learn(self, missing: list[str]) -> None:
-        ids = self.raw([p[1:] if p[:1] == _BARE else " " + p for p in missing])
+    def _piece_ids(self, fresh: list[str]) -> list[list[int]]:
+        """A word (and marks after it) goes straight to the model, all else through the whole tokenizer."""
+        out, rest, word = [], [], self.tok.model.tokenize
+        for i, p in enumerate(fresh):
+            bare = p[:1] == _BARE
+            m = _WORD_MARKS.fullmatch(p[1:] if bare else p)
+            if m and m[1].isalpha():
+                if m[2] not in self.marks:
+                    self.marks[m[2]] = self.raw([m[2]])[0]
+                text = m[1] if bare else " " + m[1]
+                out.append([t.id for t in word(text.encode().decode("latin-1").translate(self.letters))] + self.marks[m[2]])
+            else:
+                out.append(None)
+                rest.append(i)
+        for i, ids in zip(rest, self.raw([fresh[i][1:] if fresh[i][:1] == _BARE else " " + fresh[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
+
+    def _learn(self) -> None:
+        fresh, self.pieces.fresh = self.pieces.fresh, []
+        ids = self._piece_ids(fresh)
         sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.hits = np.concatenate([self.hits, np.zeros(len(ids), dtype=np.int64)])
         self.flat = np.concatenate([self.flat, flat])
-        self.pieces.update(zip(missing, range(len(self.pieces), len(self.starts)), strict=True))
+
+    def _trim(self) -> None:
+        """Drop pieces met once; if that is not enough, all but the most frequent third."""
+        keep = self.hits > 1
+        if keep.sum() > self.capacity // 2:
+            keep = self.hits > np.partition(self.hits, -self.capacity // 3)[-self.capacity // 3]
+        rows = np.flatnonzero(keep)
+        sizes = self.sizes[rows]
+        ends = np.cumsum(sizes)
+        self.flat = self.flat[np.repeat(self.starts[rows] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.starts, self.sizes, self.hits = ends - sizes, sizes, self.hits[rows] // 2 + 1
+        names, self.pieces = list(self.pieces), Pieces()
+        self.pieces.update(zip([names[i] for i in rows.tolist()], range(len(rows)), strict=True))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.pieces) > self.capacity:
-            self.reset()
-        out: list[np.ndarray | None] = [None] * len(texts)
-        cut = {}
-        for i, text in enumerate(texts):
-            if text and not _ODD.search(text):
-                pieces = (_BARE + text.replace("\n", _BREAK)).split(" ")
-                if max(map(len, pieces)) <= self.longest:
-                    cut[i] = pieces
-        direct = [i for i in range(len(texts)) if i not in cut]
-        for i, ids in zip(direct, self.raw([texts[i] for i in direct]), strict=True):
-            out[i] = np.asarray(ids, dtype=np.uint32)
-        known = self.pieces
-        flat_pieces = list(chain.from_iterable(cut.values()))
-        missing = [p for p in set(flat_pieces) if p not in known]
-        if missing:
-            self._learn(missing)
-        at = np.fromiter(map(known.__getitem__, flat_pieces), dtype=np.int64, count=len(flat_pieces))
+            self._trim()
+        try:
+            return self._encode(texts, [i for i, t in enumerate(texts) if t and _BARE not in t])
+        except OddSpace:
+            return self._encode(texts, [i for i, t in enumerate(texts) if t and not _ODD.search(t)])
+
+    def _encode(self, texts: list[str], plain: list[int]) -> list[np.ndarray]:
+        cut = [(_BARE + texts[i].replace("\n", _BREAK)).split(" ") for i in plain]
+        counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        try:
+            at = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
+        finally:
+            if self.pieces.fresh:
+                self._learn()
+        self.hits += np.bincount(at, minlength=len(self.hits))
         n = self.sizes[at]
         ends = np.cumsum(n)
         ids = self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
-        last, done = 0, 0
-        for i, pieces in cut.items():
-            last += len(pieces)
+        out: list[np.ndarray | None] = [None] * len(texts)
+        done = 0
+        for i, last in zip(plain, np.cumsum(counts).tolist(), strict=True):
             end = int(ends[last - 1])
             out[i] = ids[done:end]
             done = end
+        direct = [i for i, x in enumerate(out) if x is None]
+        for i, own in zip(direct, self.raw([texts[i] for i in direct]), strict=True):
+            out[i] = np.asarray(own, dtype=np.uint32)
         return out
 
 
