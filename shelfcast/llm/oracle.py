@@ -48,3 +48,29 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM page JOIN first USING (hex) JOIN coded USING (hex)
 """
+
+ORACLE["op6_suffix_dedup"] = """
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), win AS (
+  SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM doc, unnest(range(0, CAST(length(h) // 2 - 199 AS BIGINT))) AS u(i)
+), again AS (
+  SELECT k FROM win GROUP BY k HAVING count(*) > 1
+), hit AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM win JOIN again USING (k)
+), numbered AS (
+  SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM hit
+), runs AS (
+  SELECT r, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, run
+), gaps AS (
+  SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS gap FROM runs
+), kept AS (
+  SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_end,
+         string_agg(substr(h, 2 * gap + 1, 2 * (a - gap)), '' ORDER BY a) AS head
+  FROM gaps JOIN doc USING (r) GROUP BY r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * last_end + 1) END)) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""

@@ -13,7 +13,7 @@ Shared lines inside ``main`` stay: copies of an article on one host share all
 of it, and so would lose it.  A page without a main element that shares most
 of its characters with its pair is taken as such a copy and keeps its lines.
 
-Edge cases: null html is an empty page; a null URL, or a host with one page,
+Edge cases: null html is an empty page, which is nobody's pair; a null URL, or a host with one page,
 has no pair and loses only noise; unclosed and badly nested elements end at the
 next article, main or end of the body; several rows of one URL are neighbours;
 identical rows are copies; an empty table gives no row; other columns are
@@ -180,7 +180,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
            .withColumn("path", F.regexp_extract(F.coalesce("url", F.lit("")), r"^[^:/?#]+://[^/?#]*([^?#]*)", 1))
            .withColumn("h", F.xxhash64("html")))
     size = src.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    lined = with_neighbours(src, ["host", "path", "page_id", "h"], max(1, -(-size // part_bytes)), both=True)
+    lined = with_neighbours(src.where("html != ''"), ["host", "path", "page_id", "h"], max(1, -(-size // part_bytes)), both=True)
     names = [f.split()[0] for f in TEXTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,4 +211,6 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         if now and now["side"] == OWN:
             yield batch_of([result(before, now, None)])
 
-    return lined.select("page_id", "url", "host", "path", "_range", "_side", "html").mapInArrow(run, TEXTS)
+    found = lined.select("page_id", "url", "host", "path", "_range", "_side", "html").mapInArrow(run, TEXTS)
+    empty = src.where("html = ''").select("page_id", "url", F.lit("").alias("text"), *[F.lit(0).cast("long").alias(c) for c in names[3:]])
+    return found.unionByName(empty)

@@ -238,10 +238,12 @@ def keep_bytes(body: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def _with_ranges(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, chunk: int) -> DataFrame:
+    """(own: the row, text, ranges) of every document."""
     found = repeated_ranges(_texts(docs, id_col, text_col), length, gram, chunk)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), F.col("ranges").alias("_ranges"))
-    mine = docs.withColumn("_hash", F.shiftright(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 32).cast("int"))
-    return mine.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left").drop("_id", "_h", "_hash")
+    found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"), "ranges")
+    hashed = F.shiftright(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), 32).cast("int")
+    mine = docs.select(F.struct(*docs.columns).alias("own"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), hashed.alias("h"))
+    return mine.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h")), "left").select("own", "text", "ranges")
 
 
 def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
@@ -261,21 +263,21 @@ def removal_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True), types, strict=True)],
                                                  names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined.select("doc_id", "text", "_ranges").mapInArrow(
+    return joined.select("own.doc_id", "text", "ranges").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
                    chunk: int = CHUNK) -> DataFrame:
     """``docs`` with repeated passages cut from the text (incomplete characters dropped), columns unchanged."""
-    joined = _with_ranges(docs, id_col, text_col, length, gram, chunk)
-    schema = T.StructType([*docs.schema.fields])
+    joined = _with_ranges(docs, id_col, text_col, length, gram, chunk).select("own", "text", "ranges")
+    schema = T.StructType([joined.schema["own"], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index
             texts = [t if t is None or not r else keep_bytes(t.encode(), merge_ranges(r)).decode("utf-8", "ignore")
-                     for t, r in zip(batch.column(at(text_col)).to_pylist(), batch.column(at("_ranges")).to_pylist(), strict=True)]
-            yield C.append_columns(batch, schema, {text_col: texts})
+                     for t, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["own", "text"])
 
-    return joined.mapInArrow(run, schema)
+    cut = joined.mapInArrow(run, schema)
+    return cut.select(*[F.col("text").alias(c) if c == text_col else F.col("own")[c].alias(c) for c in docs.columns])

@@ -135,7 +135,7 @@ def _batch(rows: list[tuple], names: list[str], types: dict) -> pa.RecordBatch:
 
 
 def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
-    """One response record per row of ``pages``."""
+    """One response record per row of ``pages``; ids are drawn anew at each evaluation, so write before resolving."""
     src = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"),
                        F.coalesce(F.col(payload), F.lit("")).alias("payload"))
 
