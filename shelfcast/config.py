@@ -9,40 +9,15 @@ from dataclasses import dataclass
 class LandingSettings:
     """Bounded drain of the change stream into bronze.
 
-    ``batch_size`` caps each micro-batch (Kafka: maxOffsetsPerTrigger; files:
-    maxFilesPerTrigger is used instead).  The drain stops once at least
-    ``max_messages`` rows were written (checked after each committed batch, so a
-    run may land up to one batch more) or when the stream is caught up, which is
-    what ``availableNow`` does in place of an idle timeout.
+    ``batch_size`` caps each micro-batch of a Kafka source (maxOffsetsPerTrigger).
+    The drain stops when the stream is caught up, which is what ``availableNow``
+    does in place of an idle timeout, or once at least ``max_messages`` rows were
+    written (no cap by default; the summary says whether it was reached).
     """
 
     bronze_path: str
     checkpoint: str
     source: str = "kafka"
     batch_size: int = 5_000
-    max_messages: int | None = 10_000
-    idle_timeout_seconds: float = 10.0
+    max_messages: int | None = None
     mode: str = "append"
-    dedup_horizon_days: int | None = None
-
-
-@dataclass(frozen=True)
-class SilverSettings:
-    bronze_path: str
-    silver_path: str
-    mode: str = "overwrite"
-
-
-@dataclass(frozen=True)
-class GoldSettings:
-    silver_path: str
-    gold_path: str
-    mode: str = "overwrite"
-
-
-@dataclass(frozen=True)
-class ForecastSettings:
-    gold_path: str
-    holdout_days: int = 28
-    season_length_days: int = 7
-    output_dir: str | None = None

@@ -15,9 +15,10 @@ def _as_ts(value: Column | str) -> Column:
 
 
 def decoded_text(binary: Column) -> Column:
-    """Strict UTF-8 decode: bytes that are not valid UTF-8 land as NULL (and fail the gate)."""
+    """Strict UTF-8 decode: bytes that are not valid UTF-8 abort the batch, nothing of it is landed."""
     text = binary.cast("string")
-    return F.when(F.is_valid_utf8(text), text)
+    bad = F.raise_error(F.concat(F.lit("message is not valid UTF-8 at "), F.concat_ws(":", "topic", "partition", "offset")))
+    return F.when(text.isNull() | F.is_valid_utf8(text), text).otherwise(bad)
 
 
 def event_ts_ms(v: Column) -> Column:

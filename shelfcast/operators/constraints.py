@@ -90,10 +90,12 @@ def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per foreign key: child rows whose non-null reference has no parent."""
     out = None
     for child, ccol, parent, pcol in FOREIGN_KEYS:
-        refs = tables[child].select(F.col(ccol).alias("_ref")).filter(F.col("_ref").isNotNull())
+        # distinct references with their row counts: a hot reference is one row in the join
+        refs = (tables[child].filter(F.col(ccol).isNotNull()).groupBy(F.col(ccol).alias("_ref"))
+                .agg(F.count(F.lit(1)).alias("_rows")))
         keys = tables[parent].select(F.col(pcol).alias("_ref"))
         orphans = refs.join(keys, "_ref", "left_anti")
-        part = orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+        part = orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("violations")).select(
             F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
             F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"),
             F.col("violations"),

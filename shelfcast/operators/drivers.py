@@ -76,13 +76,16 @@ def active_promotion(targets: DataFrame, promotions: DataFrame, how: str = "left
     promotion_id wins (ids stand in for list order).
 
     Range join without pairs: each promotion expands to its own days (exact,
-    no cap), one aggregate keeps the winner per (store, SKU, day), then a plain
+    within the targets' date range), one aggregate keeps the winner per (store, SKU, day), then a plain
     equi-join.  The work is the total promotion-days, not targets x promotions.
     """
-    valid = F.col("end_date") >= F.col("start_date")
-    days = promotions.select(
+    # an open-ended promotion is clipped to the days asked for (one row of bounds)
+    bound = lambda agg: targets.select(agg("business_date")).scalar()
+    first, last = F.greatest(F.col("start_date"), bound(F.min)), F.least(F.col("end_date"), bound(F.max))
+    clipped = promotions.withColumn("_first", first).withColumn("_last", last)
+    days = clipped.filter(F.col("_last") >= F.col("_first")).select(
         "store_id", "sku_id",
-        F.explode(F.when(valid, F.sequence("start_date", "end_date")).otherwise(F.array())).alias("business_date"),
+        F.explode(F.sequence("_first", "_last")).alias("business_date"),
         F.struct("promotion_id", "discount_pct", "feature_display").alias("_p"),
     )
     winner = days.groupBy("store_id", "sku_id", "business_date").agg(F.min("_p").alias("_p"))

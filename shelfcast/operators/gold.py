@@ -11,6 +11,9 @@ from shelfcast.schemas import CURRENT_TRANSACTION_COLUMNS, GOLD
 
 SALES_TABLE = "sales_transactions"
 GROUP_KEYS = ["store_id", "sku_id", "business_date"]
+# A live sale must carry these; only the promotion may be absent.
+REQUIRED_FIELDS = ["transaction_id", "store_id", "sku_id", "business_date", "sale_ts", "units", "unit_price", "discount_pct",
+                   "gross_revenue", "net_revenue", "inventory_on_hand", "is_stockout"]
 EVENT_ORDER_COLUMNS = ["event_at", "source_lsn", "kafka_topic", "kafka_partition", "kafka_offset"]
 
 
@@ -82,17 +85,26 @@ def sales_events(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("source_table") == SALES_TABLE)
 
 
-def current_transactions(silver: DataFrame) -> DataFrame:
-    """F1 -> W2 -> F2 -> P13: the current state of every live sales transaction.
+def live_sales(silver: DataFrame) -> DataFrame:
+    """F1 -> W2 -> F2: the latest event of every live sales transaction, payload still text.
 
-    The latest event is chosen before any payload is parsed, deletes are dropped,
-    and only the survivors are parsed, so a delete carrying only key columns
-    never reaches the typed parse.
+    The latest event is chosen before any payload is parsed and deletes are
+    dropped, so a delete carrying only key columns never reaches the typed parse.
     """
     sales = sales_events(silver).withColumn("_tid", transaction_key())
     carry = [*EVENT_ORDER_COLUMNS, "is_deleted", "record_data"]
-    latest = latest_per_key(sales, "_tid", carry).filter(~F.col("is_deleted"))
-    return typed_sales(latest).select(*CURRENT_TRANSACTION_COLUMNS)
+    return latest_per_key(sales, "_tid", carry).filter(~F.col("is_deleted"))
+
+
+def current_transactions(silver: DataFrame) -> DataFrame:
+    """F1 -> W2 -> F2 -> P13: the current state of every live sales transaction."""
+    return typed_sales(live_sales(silver)).select(*CURRENT_TRANSACTION_COLUMNS)
+
+
+def payload_checks(live: DataFrame) -> DataFrame:
+    """One row, how many live sales lack each required field or hold a value of another type."""
+    typed = typed_sales(live)
+    return typed.agg(F.count(F.lit(1)).alias("live_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in REQUIRED_FIELDS])
 
 
 def current_from_typed_events(events: DataFrame) -> DataFrame:

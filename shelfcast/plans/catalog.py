@@ -158,30 +158,41 @@ def q_ingest_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_source(spark: SparkSession, sf_dir: str, redeliver: bool) -> str:
-    """Write the change log as several files, the shape a file-backed stream reads."""
+    """Write the change log as files, the shape a file-backed stream reads."""
     src = scratch_path(spark, "stream_source")
-    RV.change_log(spark, sf_dir, redeliver=redeliver).repartition(4, "topic", "partition").write.parquet(src)
+    RV.change_log(spark, sf_dir, redeliver=redeliver).write.parquet(src)
     return src
 
 
 @query("land_bronze_stream")
 def q_land_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """availableNow drain, one file per micro-batch, first batch overwrites."""
+    """availableNow drain, a few files per micro-batch, the run's first batch overwrites."""
     src = _stream_source(spark, sf_dir, redeliver=False)
     bronze = scratch_path(spark, "bronze_stream")
-    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), mode="overwrite",
-                              max_per_trigger=1, watermark_delay=None)
+    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), mode="overwrite", max_per_trigger=8)
     return comparable(L.read_lake_table(spark, bronze),
                       drop=("ingested_at", "ingest_date", "debezium_value"))
 
 
 @query("stream_dedup")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At-least-once stream with redeliveries -> one bronze row per coordinate."""
+    """At-least-once stream with redeliveries, then a replay of all of it -> one bronze row per coordinate."""
     src = _stream_source(spark, sf_dir, redeliver=True)
     bronze = scratch_path(spark, "bronze_dedup")
-    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), mode="append",
-                              max_per_trigger=1, watermark_delay=None)
+    for _ in range(2):  # the second run has a checkpoint of its own and reads everything again
+        STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), max_per_trigger=8)
+    return L.read_lake_table(spark, bronze).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
+
+
+@query("land_out_of_order")
+def q_land_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose broker times run backwards by years, default arguments: nothing is lost."""
+    src, bronze = scratch_path(spark, "stream_source"), scratch_path(spark, "bronze_backwards")
+    log = RV.change_log(spark, sf_dir)
+    for day in range(3):  # equal thirds, each written after and stamped years before the last
+        part = log.filter(F.pmod(F.col("offset"), F.lit(3)) == day)
+        part.withColumn("timestamp", F.expr(f"timestamp - INTERVAL {day * 500} DAYS")).write.mode("append").parquet(src)
+    STREAM.land_bronze_stream(spark, src, bronze, scratch_path(spark, "stream_ckpt"), max_per_trigger=8)
     return L.read_lake_table(spark, bronze).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
 
 
@@ -283,6 +294,37 @@ def q_gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("payload_violations")
+def q_payload_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live sales whose payload misses a field or holds text for a number, counted per field.
+
+    Broken here: units in multiples of 10 become text, net revenue goes missing from stockouts, the
+    store of sales over 45 units becomes JSON null."""
+    units = F.regexp_extract("record_data", '"units":([0-9]+)', 1).cast("int")
+    silver = silver_table(spark, sf_dir)
+    text = F.col("record_data")
+    text = F.when(units % 10 == 0, F.regexp_replace(text, '"units":[0-9]+', '"units":"abc"')).otherwise(text)
+    text = F.when(F.col("record_data").contains('"is_stockout":true'), F.regexp_replace(text, '"net_revenue":[^,}]*,?', "")).otherwise(text)
+    text = F.when(units > 45, F.regexp_replace(text, '"store_id":"[^"]*"', '"store_id":null')).otherwise(text)
+    return G.payload_checks(G.live_sales(silver.withColumn("record_data", text)))
+
+
+@query("gold_append_after_delete")
+def q_gold_append_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold, then every sale of a month's first day is deleted and gold is appended: those dates are gone."""
+    first, second, gold = (scratch_path(spark, p) for p in ("silver_before", "silver_after", "gold_append"))
+    L.write_lake_table(silver_table(spark, sf_dir), first)
+    JOBS.build_gold(spark, first, gold, RV.AS_OF)
+    silver = L.read_lake_table(spark, first)
+    dead = G.typed_sales(G.live_sales(silver)).filter(F.dayofmonth("business_date") == 1).select("kafka_topic", "kafka_partition", "kafka_offset")
+    deletes = (silver.join(dead, S.SILVER_COORDINATES).withColumn("operation", F.lit("d")).withColumn("operation_name", F.lit("delete"))
+               .withColumn("is_deleted", F.lit(True)).withColumn("event_at", F.expr("event_at + INTERVAL 20000 DAYS"))
+               .withColumn("kafka_offset", F.col("kafka_offset") + F.lit(1 << 50)))
+    L.write_lake_table(silver.unionByName(deletes.select(*silver.columns)), second)
+    JOBS.build_gold(spark, second, gold, RV.AS_OF, mode="append")
+    return comparable(L.read_lake_table(spark, gold), drop=("gold_loaded_at",))
+
+
 @query("date_decoding")
 def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload epoch-day integers -> dates (distinct days)."""
@@ -298,10 +340,10 @@ def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("inspect_table")
 def q_inspect_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows and files per source_table of a written bronze table."""
+    """Rows per source_table of a written bronze table (file counts depend on the writer's tasks)."""
     path = scratch_path(spark, "inspect_bronze")
     JOBS.land_bronze_batch(RV.change_log(spark, sf_dir), path, RV.AS_OF, mode="overwrite")
-    return L.inspect_table(spark, path, "source_table")
+    return L.inspect_table(spark, path, "source_table").drop("files")
 
 
 @query("lakehouse_end_to_end")
@@ -327,6 +369,52 @@ def q_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.evaluate(stored(silver_table(spark, sf_dir)), Q.silver_to_gold_suite())
 
 
+# Rows broken on purpose, by offset modulo 31: the column that becomes null, then bad values and duplicates.
+BRONZE_NULLED = ["ingest_id", "ingested_at", "ingest_date", "topic", "kafka_partition", "kafka_offset", "source_schema", "source_table",
+                 "operation", "event_ts_ms", "kafka_key", "debezium_value"]
+SILVER_NULLED = ["event_id", "record_key", "source_schema", "source_table", "operation", "operation_name", "is_snapshot", "is_deleted",
+                 "event_at", "event_date", "kafka_topic", "kafka_partition", "kafka_offset", "record_data", "ingested_at", "silver_loaded_at"]
+
+
+def _broken(df: DataFrame, nulled: list[str], key: str, value: str) -> DataFrame:
+    m = F.pmod(F.col("kafka_offset"), F.lit(31))
+    bad = {"source_schema": (20, "other"), "source_table": (21, "unknown"), "operation": (22, "x"), key: (23, "not json"), value: (24, "{bad")}
+    marked = df.unionByName(df.filter(m == 25)).withColumn("_m", m)
+    out = {}
+    for c in df.columns:
+        col = F.col(c)
+        if c in nulled:
+            col = F.when(F.col("_m") != nulled.index(c), col)
+        if c in bad:
+            at, text = bad[c]
+            col = F.when(F.col("_m") == at, F.lit(text)).otherwise(col)
+        out[c] = col
+    return marked.select(*[v.alias(k) for k, v in out.items()])
+
+
+def broken_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _broken(landed_bronze(spark, sf_dir), BRONZE_NULLED, "kafka_key", "debezium_value")
+
+
+@query("bronze_quality_broken")
+def q_bronze_quality_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2-D9 over bronze rows that break every rule."""
+    return Q.evaluate(stored(broken_bronze(spark, sf_dir)), Q.bronze_to_silver_suite())
+
+
+@query("silver_quality_broken")
+def q_silver_quality_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D2-D9 over silver rows that break every rule."""
+    return Q.evaluate(stored(_broken(silver_table(spark, sf_dir), SILVER_NULLED, "record_key", "record_data")), Q.silver_to_gold_suite())
+
+
+@query("gate_summary")
+def q_gate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's one-row summary over broken bronze."""
+    row = Q.summarize(Q.evaluate(stored(broken_bronze(spark, sf_dir)), Q.bronze_to_silver_suite()))
+    return row.withColumn("failure_messages", F.array_join("failure_messages", ";"))
+
+
 @query("constraint_report")
 def q_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys, not-null, checks and foreign keys of the four tables."""
@@ -420,7 +508,7 @@ def q_seasonal_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel, bounds = panel_of(spark, sf_dir)
     start, end = window_scalars(bounds)
-    return FC.seasonal_naive(panel, start, end)
+    return FC.seasonal_naive(panel, start, end, guard=False)
 
 
 @query("forecast_metrics")
@@ -447,7 +535,7 @@ def q_baseline_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     panel, _ = panel_of(spark, sf_dir)
     window = FC.evaluation_window(panel).first()
     FC.validate_evaluation_window(window)
-    fc = FC.seasonal_naive(panel, window["test_start"], window["test_end"])
+    fc = FC.seasonal_naive(panel, window["test_start"], window["test_end"], guard=False)
     return FC.forecast_metrics(fc).select(
         F.lit(FC.MODEL_NAME).alias("model"),
         F.lit(window["train_start"]).alias("train_start"),
@@ -469,6 +557,13 @@ def q_active_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(out)
 
 
+@query("gold_promotions")
+def q_gold_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gold day with the promotion active that day, or none."""
+    gold = gold_table(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
+    return comparable(D.active_promotion(gold, RV.promotions(spark, sf_dir)))
+
+
 @query("promotion_lift")
 def q_promotion_lift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lift of each promotion from its discount, the product's elasticity and display."""

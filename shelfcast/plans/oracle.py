@@ -258,6 +258,8 @@ ORACLE["ingest_ids"] = with_base("""
 SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg
 UNION ALL
 SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg WHERE is_redelivered""")
+ORACLE["inspect_table"] = with_base("SELECT source_table, COUNT(*) AS rows FROM msg GROUP BY source_table")
+ORACLE["land_out_of_order"] = with_base("SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg")
 ORACLE["stream_dedup"] = with_base("SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg")
 
 # ------------------------------------------------------------------ silver
@@ -315,6 +317,13 @@ _TYPED = f"""transaction_id, store_id, sku_id, business_date, sale_ts, units,
 ORACLE["sales_transactions_typed"] = with_base(f"SELECT {_TYPED} FROM sales_ev")
 ORACLE["current_transactions"] = with_base(f"SELECT {_TYPED} FROM current_tx")
 ORACLE["gold_daily_demand"] = with_base("SELECT * FROM gold")
+ORACLE["gold_append_after_delete"] = with_base("SELECT * FROM gold WHERE day(business_date) <> 1")
+ORACLE["payload_violations"] = with_base("""
+SELECT COUNT(*) AS live_rows, 0::BIGINT AS transaction_id, COUNT(*) FILTER (WHERE units > 45) AS store_id, 0::BIGINT AS sku_id,
+  0::BIGINT AS business_date, 0::BIGINT AS sale_ts, COUNT(*) FILTER (WHERE units % 10 = 0) AS units, 0::BIGINT AS unit_price,
+  0::BIGINT AS discount_pct, 0::BIGINT AS gross_revenue, COUNT(*) FILTER (WHERE is_stockout) AS net_revenue,
+  0::BIGINT AS inventory_on_hand, 0::BIGINT AS is_stockout
+FROM current_tx""")
 ORACLE["lakehouse_end_to_end"] = with_base("SELECT * FROM gold")
 
 ORACLE["gold_summary"] = with_base("""
@@ -349,6 +358,52 @@ ORACLE["bronze_quality"] = with_base(_suite_sql(
     "(SELECT COUNT(*) FROM msg) + (SELECT COUNT(*) FROM msg WHERE is_redelivered)",
     "2 * (SELECT COUNT(*) FROM msg WHERE is_redelivered)",
 ))
+
+
+def _rules_sql(suite: str, rules: list[tuple[str, str, int | None]], null_keys: str) -> str:
+    """Written out per rule: (type, column, residue of the offset modulo 31 at which rows break it)."""
+    n = "(SELECT COUNT(*) FROM msg) + (SELECT COUNT(*) FROM msg WHERE kafka_offset % 31 = 25)"
+    parts = []
+    for i, (kind, column, residue) in enumerate(rules):
+        unique = kind == "expect_compound_columns_to_be_unique"
+        times = 2 if unique else 1
+        # rows with a null key part do not count for uniqueness
+        rows = f"{n} - (SELECT COUNT(*) FROM msg WHERE kafka_offset % 31 IN {null_keys})" if unique else n
+        bad = "0" if residue is None else f"{times} * (SELECT COUNT(*) FROM msg WHERE kafka_offset % 31 = {residue})"
+        parts.append(f"SELECT '{suite}' AS suite_name, {i} AS ordinal, '{kind}' AS expectation_type, CAST({column} AS VARCHAR) AS column_name, "
+                     f"CAST({rows} AS BIGINT) AS element_count, CAST({bad} AS BIGINT) AS unexpected_count, {bad} = 0 AS success")
+    return "\nUNION ALL\n".join(parts)
+
+
+_SET, _NULL, _JSON = "expect_column_values_to_be_in_set", "expect_column_values_to_not_be_null", "expect_column_values_to_be_json_parseable"
+_HEAD = [("expect_table_row_count_to_be_between", "NULL", None)]
+_SETS = [(_SET, "'source_schema'", 20), (_SET, "'source_table'", 21), (_SET, "'operation'", 22)]
+_BRONZE_RULES = [
+    ("expect_table_columns_to_match_set", "'ingest_id,ingested_at,ingest_date,topic,kafka_partition,kafka_offset,source_schema,source_table,"
+     "operation,event_ts_ms,source_lsn,kafka_key,debezium_value'", None), *_HEAD,
+    (_NULL, "'ingest_id'", 0), (_NULL, "'ingested_at'", 1), (_NULL, "'ingest_date'", 2), (_NULL, "'topic'", 3), (_NULL, "'kafka_partition'", 4),
+    (_NULL, "'kafka_offset'", 5), (_NULL, "'source_schema'", 6), (_NULL, "'source_table'", 7), (_NULL, "'operation'", 8),
+    (_NULL, "'event_ts_ms'", 9), (_NULL, "'kafka_key'", 10), (_NULL, "'debezium_value'", 11),
+    ("expect_compound_columns_to_be_unique", "'topic,kafka_partition,kafka_offset'", 25), *_SETS,
+    (_JSON, "'kafka_key'", 23), (_JSON, "'debezium_value'", 24),
+]
+_SILVER_RULES = [
+    ("expect_table_columns_to_match_set", "'event_id,record_key,source_schema,source_table,operation,operation_name,is_snapshot,is_deleted,event_at,"
+     "event_date,source_lsn,kafka_topic,kafka_partition,kafka_offset,record_data,ingested_at,silver_loaded_at'", None), *_HEAD,
+    (_NULL, "'event_id'", 0), (_NULL, "'record_key'", 1), (_NULL, "'source_schema'", 2), (_NULL, "'source_table'", 3), (_NULL, "'operation'", 4),
+    (_NULL, "'operation_name'", 5), (_NULL, "'is_snapshot'", 6), (_NULL, "'is_deleted'", 7), (_NULL, "'event_at'", 8), (_NULL, "'event_date'", 9),
+    (_NULL, "'kafka_topic'", 10), (_NULL, "'kafka_partition'", 11), (_NULL, "'kafka_offset'", 12), (_NULL, "'record_data'", 13),
+    (_NULL, "'ingested_at'", 14), (_NULL, "'silver_loaded_at'", 15),
+    ("expect_compound_columns_to_be_unique", "'kafka_topic,kafka_partition,kafka_offset'", 25), *_SETS,
+    (_JSON, "'record_key'", 23), (_JSON, "'record_data'", 24),
+]
+ORACLE["bronze_quality_broken"] = with_base(_rules_sql("bronze_to_silver_cdc_events", _BRONZE_RULES, "(3, 4, 5)"))
+ORACLE["silver_quality_broken"] = with_base(_rules_sql("silver_to_gold_retail_cdc_events", _SILVER_RULES, "(10, 11, 12)"))
+ORACLE["gate_summary"] = with_base(f"""
+SELECT suite_name, bool_and(success) AS success, COUNT(*) AS evaluated_expectations,
+  COUNT(*) FILTER (WHERE success) AS successful_expectations, COUNT(*) FILTER (WHERE NOT success) AS unsuccessful_expectations,
+  string_agg(expectation_type, ';' ORDER BY ordinal) FILTER (WHERE NOT success) AS failure_messages
+FROM ({_rules_sql("bronze_to_silver_cdc_events", _BRONZE_RULES, "(3, 4, 5)")}) GROUP BY suite_name""")
 ORACLE["silver_quality"] = with_base(_suite_sql(Q.silver_to_gold_suite(), "(SELECT COUNT(*) FROM msg)", "0"))
 
 # CHECK predicates in SQL (mirror of operators.constraints.VALUE_CHECKS).
@@ -474,6 +529,11 @@ SELECT g.store_id, g.sku_id, g.business_date, g.units_sold, w.promotion_id,
   CAST(w.promo_discount_pct AS DOUBLE) AS promo_discount_pct, w.promo_feature_display
 FROM gold g JOIN promo_win w USING (store_id, sku_id, business_date)""")
 
+ORACLE["gold_promotions"] = with_base("""
+SELECT g.store_id, g.sku_id, g.business_date, g.units_sold, w.promotion_id,
+  CAST(w.promo_discount_pct AS DOUBLE) AS promo_discount_pct, w.promo_feature_display
+FROM gold g LEFT JOIN promo_win w USING (store_id, sku_id, business_date)""")
+
 _LIFT = ("(CAST(1.0 AS DOUBLE) + (CAST({d} AS DOUBLE) * CAST({e} AS DOUBLE) "
          "+ CASE WHEN {f} THEN CAST(0.18 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END))")
 

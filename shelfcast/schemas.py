@@ -192,3 +192,6 @@ PRIMARY_KEYS = {
     "promotions": "promotion_id",
     "sales_transactions": "transaction_id",
 }
+
+# The retail change topics, one per table.
+DEFAULT_TOPICS = [f"shop.retail.{table}" for table in RETAIL_TABLE_SCHEMAS]

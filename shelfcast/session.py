@@ -72,6 +72,8 @@ def shared_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -1,43 +1,46 @@
 """Structured Streaming landing of the change stream into bronze.
 
 A bounded drain is ``trigger(availableNow=True)``: every message available at
-start is processed in rate-limited micro-batches, then the query stops.  Offsets
-(or processed files) are committed to the checkpoint only after a batch is
-written, so a restart resumes without loss; the sink is idempotent on
-``ingest_id``, so replays do not duplicate bronze rows.
+start is processed in micro-batches, then the query stops.  Offsets (or
+processed files) are committed to the checkpoint only after a batch is written,
+so a restart resumes without loss.  The sink is idempotent on Kafka coordinates:
+a batch is compared with the stored rows of its own offset ranges, so replays
+and redeliveries add nothing and no full id column is read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.config import LandingSettings
+from shelfcast.errors import BronzeLandingError
 from shelfcast.operators import bronze as B
-from shelfcast.plans.jobs import BRONZE_PARTITIONS
-from shelfcast.schemas import KAFKA_ROW
+from shelfcast.plans.jobs import BRONZE_PARTITIONS, only_new_coordinates
+from shelfcast.schemas import DEFAULT_TOPICS, KAFKA_ROW
 from shelfcast.sources import lakehouse as L
 
 COORDINATES = ["topic", "partition", "offset"]
-CAP_REACHED = "bronze landing reached max_messages"
+RUN_MARKER = "overwrite_run"
 
 
 def land_with_settings(spark: SparkSession, settings: LandingSettings, topics: list[str] | None = None,
                        options: dict[str, str] | None = None) -> dict:
     """S2 with the model's knobs: batch size, message cap, write mode."""
     return land_bronze_stream(spark, settings.source, settings.bronze_path, settings.checkpoint, settings.mode,
-                              max_per_trigger=settings.batch_size if settings.source == "kafka" else 1,
-                              topics=topics, options=options, dedup_horizon_days=settings.dedup_horizon_days,
-                              max_messages=settings.max_messages)
+                              max_per_trigger=settings.batch_size if settings.source == "kafka" else None,
+                              topics=topics, options=options, max_messages=settings.max_messages)
 
 
 def read_change_stream(spark: SparkSession, source: str, topics: list[str] | None = None,
                        max_per_trigger: int | None = None, options: dict[str, str] | None = None) -> DataFrame:
     """The change stream.  ``source`` is ``kafka`` (with ``kafka.bootstrap.servers``
-    in ``options``; needs the Kafka connector jar) or a folder of Kafka-shaped files."""
+    in ``options``; needs the Kafka connector jar; without ``topics`` the four retail
+    topics) or a folder of Kafka-shaped files (without ``topics``: all of them)."""
     opts = dict(options or {})
     if source == "kafka":
-        reader = spark.readStream.format("kafka").option("subscribe", ",".join(topics or []))
+        reader = spark.readStream.format("kafka").option("subscribe", ",".join(topics or DEFAULT_TOPICS))
         reader = reader.option("startingOffsets", "earliest")
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", str(max_per_trigger))
@@ -49,79 +52,114 @@ def read_change_stream(spark: SparkSession, source: str, topics: list[str] | Non
     return df.filter(F.col("topic").isin(topics)) if topics else df
 
 
-def dedup_within_watermark(stream: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop redelivered messages (same coordinates) seen within ``delay`` of
-    broker time; state is bounded by the watermark."""
+def dedup_within_watermark(stream: DataFrame, delay: str) -> DataFrame:
+    """T3 as a streaming operator: drop redelivered messages (same coordinates) seen
+    within ``delay`` of broker time.  Lossy: Spark discards every row older than the
+    watermark, redelivered or not, so landing uses it only when asked to; the sink
+    removes duplicates exactly either way."""
     return stream.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(COORDINATES)
 
 
-def bronze_sink(path: str, mode: str = "append", dedup_against_table: bool = True,
-                dedup_horizon_days: int | None = None):
-    """foreachBatch writer.  ``overwrite`` applies to the first batch only.
-    Rows whose ``ingest_id`` is already in bronze are skipped (idempotent replays);
-    ``dedup_horizon_days`` bounds that check to recent landing partitions."""
+def bronze_sink(path: str, mode: str = "append", checkpoint: str | None = None):
+    """foreachBatch writer returning the rows it landed.
+
+    ``overwrite`` replaces the table at the first batch of a run.  The run's first
+    batch id is kept beside the checkpoint until the run ends, so a run that failed
+    half-way goes on with the same first batch when it is started again.
+    """
+    marker = f"{checkpoint.rstrip('/')}/{RUN_MARKER}" if checkpoint and mode == "overwrite" else None
+
+    def is_first(spark: SparkSession, batch_id: int) -> bool:
+        if mode != "overwrite":
+            return False
+        known = L.read_small_file(spark, marker) if marker else None
+        if known is None:
+            known = str(batch_id)
+            if marker:
+                L.write_small_file(spark, marker, known)
+        return int(known) == batch_id
+
+    started: dict[str, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> int:
         spark = batch.sparkSession
         rows = B.dedup_landing(B.bronze_rows(batch, F.current_timestamp()))
-        batch_mode = "overwrite" if (mode == "overwrite" and batch_id == 0) else "append"
-        if batch_mode == "append" and dedup_against_table and L.table_exists(spark, path):
-            rows = rows.join(L.seen_ids(spark, path, "ingest_id", dedup_horizon_days), "ingest_id", "left_anti")
-        obs = Observation("landed")
-        L.write_lake_table(rows.observe(obs, F.count(F.lit(1)).alias("rows")), path, batch_mode, BRONZE_PARTITIONS)
+        if marker or mode != "overwrite":
+            first = is_first(spark, batch_id)
+        else:
+            first = started.setdefault("id", batch_id) == batch_id
+        if not first:
+            rows = only_new_coordinates(rows, path)
+        # counted and written from the same rows
+        rows = rows.persist()
         try:
-            return int(obs.get["rows"])
-        except Exception:  # noqa: BLE001 - an empty batch reports no observation
-            return 0
-
+            landed = rows.count()
+            L.write_lake_table(rows, path, "overwrite" if first else "append", BRONZE_PARTITIONS,
+                               sort_within=["topic", "kafka_partition", "kafka_offset"])
+        finally:
+            rows.unpersist()
+        return landed
+
+    def finish(spark: SparkSession) -> None:
+        if marker:
+            L.discard(spark, marker)
+
+    write.finish = finish
     return write
 
 
 def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, checkpoint: str,
                        mode: str = "append", max_per_trigger: int | None = None,
                        topics: list[str] | None = None, options: dict[str, str] | None = None,
-                       watermark_delay: str | None = "1 day", dedup_horizon_days: int | None = None,
-                       max_messages: int | None = None) -> dict:
+                       watermark_delay: str | None = None, max_messages: int | None = None) -> dict:
     """Drain the stream into bronze and stop (availableNow).
 
-    With ``max_messages`` the drain also stops after the first committed
-    micro-batch that brings the total to at least that many rows.
+    With ``max_messages`` the drain also stops once that many rows are committed
+    (``stopped_at_cap`` in the summary); the next run resumes there.  A batch that
+    cannot be landed - undecodable bytes, a failing write - raises
+    ``BronzeLandingError`` with its offsets uncommitted.
     """
     stream = read_change_stream(spark, source, topics, max_per_trigger, options)
     if watermark_delay:
         stream = dedup_within_watermark(stream, watermark_delay)
-    landed = {"rows": 0, "done": False}
-    sink = bronze_sink(bronze_path, mode, dedup_horizon_days=dedup_horizon_days)
+    landed = {"rows": 0, "full": False, "refused": False}
+    sink = bronze_sink(bronze_path, mode, checkpoint)
 
     def bounded(batch: DataFrame, batch_id: int) -> None:
-        # A batch that starts after the cap was reached must not be committed (its
-        # messages would be lost to the next run), so it fails with a sentinel: the
-        # query stops with its offsets uncommitted and the next run resumes there.
-        if landed["done"]:
-            raise RuntimeError(CAP_REACHED)
+        # A batch that starts after the cap was reached must stay uncommitted (its
+        # messages would be lost to the next run), so it is refused.
+        if landed["full"]:
+            landed["refused"] = True
+            raise BronzeLandingError("cap reached before this batch")
         landed["rows"] += sink(batch, batch_id)
-        if max_messages is not None and landed["rows"] >= max_messages:
-            landed["done"] = True
+        landed["full"] = max_messages is not None and landed["rows"] >= max_messages
 
+    started_at = spark.sql("SELECT current_timestamp()").first()[0]
     query = (
-        stream.writeStream.foreachBatch(bounded if max_messages is not None else sink)
+        stream.writeStream.foreachBatch(bounded)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     try:
-        while query.isActive and not landed["done"]:
+        while query.isActive and not landed["full"]:
             query.awaitTermination(0.2)
         if query.isActive:
             query.stop()
         query.awaitTermination()
-    except Exception as exc:  # noqa: BLE001 - only the cap sentinel is a clean stop
-        if CAP_REACHED not in str(exc):
-            raise
+    except PySparkException as exc:
+        if not landed["refused"]:
+            raise BronzeLandingError(f"Landing into {bronze_path} failed: {exc}") from exc
+    sink.finish(spark)
     progress = query.recentProgress
     return {
         "table_uri": bronze_path,
+        "topics": list(topics or DEFAULT_TOPICS),
         "batches": len([p for p in progress if p.get("numInputRows", 0) > 0]),
         "input_rows": sum(p.get("numInputRows", 0) for p in progress),
+        "landed_rows": landed["rows"],
+        "stopped_at_cap": landed["full"],
+        "started_at": started_at,
+        "finished_at": spark.sql("SELECT current_timestamp()").first()[0],
         "mode": mode,
     }
