@@ -109,8 +109,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     full = at.where(F.col("index") < F.col("bins") * F.col("per_bin")).select(
         *keep, (F.col("base") + F.floor(F.col("index") / F.col("per_bin"))).cast("long").alias("sequence_id"),
         (F.pmod(F.col("index"), F.col("per_bin")) * F.col("length")).cast("long").alias("offset"))
-    whole = classes.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("whole"))
-    rest = at.where(F.col("index") >= F.col("bins") * F.col("per_bin")).select(*keep, "index").crossJoin(F.broadcast(whole))  # one-row side
+    whole = classes.select(F.coalesce(F.sum("bins"), F.lit(0))).scalar()
+    rest = at.where(F.col("index") >= F.col("bins") * F.col("per_bin")).select(*keep, "index", whole.alias("whole"))
     out_schema = full.schema
 
     def tail(frames):
