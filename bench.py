@@ -52,7 +52,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session(f"local[{cpus}]", app_name="shelfcast-bench", shuffle_partitions=int(cpus) * 2,
-                          extra_conf={"spark.driver.memory": "16g"})
+                          extra_conf={"spark.driver.memory": "8g"})
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
     if os.path.isdir(warm_dir):
         for name in ("gold_daily_demand", "baseline_evaluation"):

@@ -201,11 +201,13 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, ch
     """(doc_id, h, ranges): byte ranges (packed longs, unmerged) each text loses; texts that lose nothing are absent."""
     spark = texts.sparkSession
     rows = anchor_rows(texts, length, gram)
-    grams = rows.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("g")
+    # written first: the join then has an exchange of its own on either side, and a very common gram's rows can be split
+    grams = C.persisted(rows.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("g"), "repeats-grams")
+    C.release(spark)
     hits = C.persisted(rows.join(grams, "g"), "repeats-hits")
     C.release(spark)
     spans = C.persisted(hits.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "spot")).alias("one")), "repeats-spans")
-    shared = spans.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > 1)
+    shared = C.persisted(spans.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > 1), "repeats-shared")
     edges = spans.join(shared, "g").select("g", "c", "k", "n", "one.doc_id", "one.spot")
     ends = C.persisted(_compare_edges(_edge_spans(edges, texts, length), length, chunk), "repeats-ends")
     C.release(spark)

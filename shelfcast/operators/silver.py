@@ -32,8 +32,8 @@ def keep_last_per_coordinate(rows: DataFrame, coordinates: list[str] | None = No
 
     Spark rows have no input order, so "last" is the latest ``ingested_at``, ties
     broken by the payload text.  Rows with null coordinates group together.
-    ``max_by`` aggregates map-side first, so a hot coordinate never gathers in
-    one task.
+    ``max_by`` aggregates before the shuffle unless the rows are already
+    partitioned by coordinate.
     """
     coords = coordinates or COORDINATES
     order = order or ["ingested_at", "debezium_value"]
@@ -109,8 +109,7 @@ def silver_events(bronze: DataFrame, loaded_at: Column | str, strict: bool = Tru
     the last copy per coordinate.  Only text and scalars cross the shuffle, and a
     later filter on a silver column (e.g. ``source_table``) reads a plain field.
 
-    Bronze is hash-partitioned on the coordinates first: keep-last needs exactly
-    that shuffle anyway (it is reused, not repeated), and the per-row JSON work
-    then runs on every shuffle partition however few files bronze was stored in."""
-    rows = silver_rows(bronze.repartition(*COORDINATES), loaded_at, strict, observe)
+    Copies of a coordinate are reduced before the shuffle, so one delivered very
+    often does not meet in one task, and the envelope text never crosses it."""
+    rows = silver_rows(bronze, loaded_at, strict, observe)
     return keep_last_per_coordinate(rows, SILVER_COORDINATES, ["ingested_at", "record_data", "before_data"])

@@ -227,10 +227,10 @@ def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dedup_coordinates")
 def q_dedup_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keep the last landed copy of each Kafka coordinate."""
-    kept = S.keep_last_per_coordinate(landed_bronze_with_redelivery(spark, sf_dir))
-    return comparable(kept.select("topic", "kafka_partition", "kafka_offset", "ingest_id", "source_table",
-                                  "operation", "ingested_at"))
+    """Keep the last landed copy of each Kafka coordinate, as the silver job does."""
+    kept = S.silver_events(landed_bronze_with_redelivery(spark, sf_dir), RV.AS_OF)
+    return comparable(kept.select(F.col("kafka_topic").alias("topic"), "kafka_partition", "kafka_offset",
+                                  F.col("event_id").alias("ingest_id"), "source_table", "operation", "ingested_at"))
 
 
 @query("source_table_counts")
@@ -319,7 +319,7 @@ def q_gold_append_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = G.typed_sales(G.live_sales(silver)).filter(F.dayofmonth("business_date") == 1).select("kafka_topic", "kafka_partition", "kafka_offset")
     deletes = (silver.join(dead, S.SILVER_COORDINATES).withColumn("operation", F.lit("d")).withColumn("operation_name", F.lit("delete"))
                .withColumn("is_deleted", F.lit(True)).withColumn("event_at", F.expr("event_at + INTERVAL 20000 DAYS"))
-               .withColumn("kafka_offset", F.col("kafka_offset") + F.lit(1 << 50)))
+               .withColumn("kafka_offset", F.lit(-1) - F.col("kafka_offset")))
     L.write_lake_table(silver.unionByName(deletes.select(*silver.columns)), second)
     JOBS.build_gold(spark, second, gold, RV.AS_OF, mode="append")
     return comparable(L.read_lake_table(spark, gold), drop=("gold_loaded_at",))

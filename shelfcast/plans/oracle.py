@@ -60,7 +60,7 @@ sales_ev AS (
          ELSE 'u' END AS operation,
     epoch_ms(sale_ts) + version * 1000 AS event_ts_ms,
     CAST(l_orderkey % {KAFKA_PARTITIONS} AS INTEGER) AS kafka_partition,
-    CAST(((l_orderkey // {KAFKA_PARTITIONS}) * 8 + l_linenumber - 1) * 8 + version AS BIGINT) AS kafka_offset
+    ((CAST(l_orderkey AS BIGINT) // {KAFKA_PARTITIONS}) * 1024 + l_linenumber - 1) * 1048576 + version AS kafka_offset
   FROM sales_ev0
 ),
 current_tx AS (
@@ -70,10 +70,10 @@ current_tx AS (
 ),
 stores_t AS (
   SELECT printf('store-%02d', n.n_nationkey) AS store_id, n.n_name AS store_name, r.r_name AS region,
-    ['urban express', 'neighborhood', 'suburban', 'club'][n.n_nationkey % 4 + 1] AS store_format,
-    CAST([12000, 28000, 45000, 72000][n.n_nationkey % 4 + 1] AS INTEGER) AS square_feet,
+    ['corner', 'market', 'superstore', 'warehouse'][n.n_nationkey % 4 + 1] AS store_format,
+    CAST([9000, 22000, 52000, 80000][n.n_nationkey % 4 + 1] AS INTEGER) AS square_feet,
     CAST(DATE '2015-01-01' + CAST(n.n_nationkey * 37 AS INTEGER) AS DATE) AS opened_on,
-    CAST(['0.75', '1.00', '1.25', '1.55'][n.n_nationkey % 4 + 1] AS DECIMAL(8,4)) AS demand_multiplier,
+    CAST(['0.80', '1.00', '1.30', '1.60'][n.n_nationkey % 4 + 1] AS DECIMAL(8,4)) AS demand_multiplier,
     CAST(n.n_nationkey AS BIGINT) AS kafka_offset
   FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),

@@ -41,13 +41,13 @@ AS_OF = "2026-01-01 06:00:00"
 # Snapshot (op ``r``) events of the dimension tables are read at this instant.
 SNAPSHOT_AT = "1995-01-01 00:00:00"
 
-# Fixed values (must equal the model's): store formats as
-# (format, square feet, demand multiplier), picked by nation key modulo 4.
+# Store formats of the test-data adapter (format, square feet, demand multiplier),
+# picked by nation key modulo 4.
 STORE_FORMATS = [
-    ("urban express", 12000, "0.75"),
-    ("neighborhood", 28000, "1.00"),
-    ("suburban", 45000, "1.25"),
-    ("club", 72000, "1.55"),
+    ("corner", 9000, "0.80"),
+    ("market", 22000, "1.00"),
+    ("superstore", 52000, "1.30"),
+    ("warehouse", 80000, "1.60"),
 ]
 
 
@@ -143,8 +143,9 @@ def _sales_base(spark: SparkSession, sf_dir: str, partitions: int = KAFKA_PARTIT
         hours=(F.col("l_linenumber") + 8).cast("int")
     )
     event_ts_ms = F.unix_millis(sale_ts) + F.col("version") * 1000
-    coords_ok = (F.col("version") < 8) & F.col("l_linenumber").between(1, 8)
-    offset = ((F.expr(f"l_orderkey div {partitions}") * 8 + F.col("l_linenumber") - 1) * 8) + F.col("version")
+    # 2^10 lines per order and 2^20 versions per line fit beside 2^33 orders per partition
+    coords_ok = (F.col("version") < 1 << 20) & F.col("l_linenumber").between(1, 1 << 10)
+    offset = ((F.expr(f"l_orderkey div {partitions}") * (1 << 10) + F.col("l_linenumber") - 1) * (1 << 20)) + F.col("version")
     gross = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(5,2)")
     return base.select(
