@@ -40,7 +40,7 @@ from shelfcast.llm import common as C
 
 LENGTH = 200
 GRAM = 64
-CHUNK = 20_000
+CHUNK = 5_000
 _LOW32 = np.uint64(0xFFFFFFFF)
 
 
