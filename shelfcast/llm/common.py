@@ -145,7 +145,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 # ---------------------------------------------------------------- rolling hashes over bytes
 
 _B = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+KEPT_POWERS = 1 << 19
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -174,21 +174,24 @@ class PrefixHash:
     def __init__(self, data: np.ndarray):
         n = len(data)
         cls = PrefixHash
-        if len(cls._pow) < n + 1:
+        if len(cls._pow) < n + 1 <= KEPT_POWERS:
             size = 1 << (n + 1).bit_length()
-            cls._pow = _powers(_B, size)
-            cls._inv = _powers(pow(_B, -1, 1 << 64), size)
+            cls._pow, cls._inv = _powers(_B, size), _powers(pow(_B, -1, 1 << 64), size)
+        # long buffers get powers of their own, a worker keeps only small tables
+        kept = n + 1 <= KEPT_POWERS
+        power = cls._pow if kept else _powers(_B, n + 1)
+        self.inverse = cls._inv if kept else _powers(pow(_B, -1, 1 << 64), n + 1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(cls._table[data] * cls._pow[:n], out=self.sums[1:])
+        np.cumsum(cls._table[data] * power[:n], out=self.sums[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * PrefixHash._inv[start])
+        return mix64((self.sums[end] - self.sums[start]) * self.inverse[start])
 
     def grams(self, k: int) -> np.ndarray:
         n = len(self.sums) - k
         if n <= 0:
             return np.zeros(0, dtype=np.uint64)
-        return mix64((self.sums[k:] - self.sums[:n]) * PrefixHash._inv[:n])
+        return mix64((self.sums[k:] - self.sums[:n]) * self.inverse[:n])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

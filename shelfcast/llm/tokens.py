@@ -53,7 +53,7 @@ class Pieces(dict):
 class PieceEncoder:
     """``encode(texts)`` -> ids per text, those of ``encode(text, add_special_tokens=False)``."""
 
-    def __init__(self, path: str, capacity: int = 600_000):
+    def __init__(self, path: str, capacity: int = 350_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
