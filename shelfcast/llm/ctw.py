@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from shelfcast.llm import common as C
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
-SLICE = 2 << 20
+BLOCK_BYTES = 24 << 20
+SLICE = 1 << 20
 MARK = 0xFF  # in no UTF-8 text: padding before the start and the end symbol
 
 
