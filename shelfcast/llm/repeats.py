@@ -12,11 +12,13 @@ anchor.  Equal windows have equal anchors at equal offsets, so nothing is lost.
   (gram, all bytes its windows span).  A pair held by several anchors means all
   their windows are repeated;
 * what is left are anchors that share a gram but not the whole span, the ends
-  of repeated passages.  Only for one member of each such pair the bytes are
-  fetched, and windows at equal offsets from the gram are compared.
+  of repeated passages.  One member of each such pair is ranked again by the
+  gram with half of its neighbourhood, and where that is shared by every window
+  at its offset from the gram: one narrow row per rank, counted in Spark.
 
-A gram held by very many different spans is compared in slices of offsets, in
-as many tasks.  Everything a document loses is joined back to its text once.
+Spans that share a gram are never gathered, however many they are: equal ranks
+meet in partial counts.  Everything a document loses is joined back to its text
+once.
 
 Edge cases: null counts as empty; texts under ``length`` bytes lose nothing;
 repeated rows are repeats of each other and go whole; rows with equal ids are
@@ -104,97 +106,95 @@ def _place():
             (pos - shape.bitwiseAND(F.lit(0xFF))).alias("last"))
 
 
-def _edge_spans(edges: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """``edges`` (g, c, k, n, doc_id, spot) with the bytes that the anchor's windows span."""
-    h, first, last = _place()
+def rank_keys(g: np.ndarray, c: np.ndarray, halves: np.ndarray, spans: list[bytes], length: int, gram: int, width: int) -> tuple[np.ndarray, ...]:
+    """(row, group, rank) per group of ``width`` neighbouring offsets that a span's windows have; width 1 is the window.
+
+    A group's rank is that of the bytes all its offsets' windows have in common,
+    so a window repeated elsewhere has a repeated rank at every width.  Bit b of
+    ``halves`` lets the span's offsets of half b through.
+    """
+    low, high = c & 0xFF, (c >> 8) & 0xFF
+    first = low // width
+    count = high // width - first + 1
+    row = np.repeat(np.arange(len(g)), count)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count) + first[row]
+    mine = (halves[row] >> (at * width // half_width(length, gram))) & 1 == 1
+    row, at = row[mine], at[mine]
+    size = np.fromiter(map(len, spans), dtype=np.int64, count=len(spans))
+    anchor = (np.cumsum(size) - size + high)[row]
+    near, far = at * width, np.minimum(at * width + width - 1, length - gram)
+    h = C.PrefixHash(np.frombuffer(b"".join(spans), dtype=np.uint8)).ranges(anchor - near, anchor - far + length)
+    return row, at, C.mix64(h + C.mix64(at.astype(np.uint64))).view(np.int64)
+
+
+def half_width(length: int, gram: int) -> int:
+    """Offsets in one of the two halves of all offsets 0 to ``length - gram``."""
+    return (length - gram) // 2 + 1
+
+
+def _edge_ranks(edges: DataFrame, texts: DataFrame, length: int, gram: int, width: int, chunk: int) -> DataFrame:
+    """One narrow row (g, rank, c, n, doc_id, spot, at) per group of offsets of every edge (g, c, n, doc_id, spot, halves)."""
     # spans wanted of one document: bounded by the document's own length
-    wanted = (edges.select("doc_id", h, F.struct("g", "c", "k", "n", first, last).alias("e"))
-              .groupBy("doc_id", "h").agg(F.collect_list("e").alias("es")))
-    joined = texts.join(wanted.withColumnRenamed("doc_id", "id2").withColumnRenamed("h", "h2"),
-                         F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")))
-    schema = "g long, c long, k long, n long, doc_id long, h int, first long, span binary"
+    wanted = (edges.select(F.col("doc_id").alias("id2"), _place()[0].alias("h2"), F.struct("g", "c", "n", "spot", "halves").alias("e"))
+              .groupBy("id2", "h2").agg(F.collect_list("e").alias("es")))
+    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64()] * 5 + [pa.int32(), pa.int64(), pa.binary()]
-        names = ["g", "c", "k", "n", "doc_id", "h", "first", "span"]
         for batch in batches:
-            for i in range(batch.num_rows):
-                doc_id, h, body, es = (batch.column(k)[i].as_py() for k in range(4))
-                rows = [(e["g"], e["c"], e["k"], e["n"], doc_id, h, e["first"], body[e["first"]:e["last"] + length]) for e in es]
-                yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+            bodies, es = batch.column(1), batch.column(2)
+            owner = np.repeat(np.arange(batch.num_rows), es.value_lengths().to_numpy())
+            e = pa.RecordBatch.from_struct_array(es.flatten())
+            ids = batch.column(0).take(pa.array(owner))
+            for start in range(0, e.num_rows, chunk):
+                part, own = e.slice(start, chunk), owner[start:start + chunk]
+                g, c, n, spot, halves = (part.column(k).to_numpy() for k in range(5))
+                body = {i: bodies[i].as_py() for i in np.unique(own).tolist()}
+                pos = spot & 0xFFFFFFFF
+                spans = [body[i][a:b] for i, a, b in zip(own.tolist(), (pos - (c >> 8 & 0xFF)).tolist(), (pos - (c & 0xFF) + length).tolist(), strict=True)]
+                row, at, rank = rank_keys(g, c, halves, spans, length, gram, width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(g[row]), pa.array(rank), pa.array(c[row]), pa.array(n[row]), ids.slice(start, chunk).take(pa.array(row)),
+                     pa.array(spot[row]), pa.array(at)], names=["g", "rank", "c", "n", "doc_id", "spot", "at"])
 
-    return joined.select("doc_id", "h", "body", "es").mapInArrow(run, schema)
+    return joined.select("doc_id", "body", "es").mapInArrow(run, "g long, rank long, c long, n long, doc_id long, spot long, at long")
 
 
-def compare_windows(g: np.ndarray, c: np.ndarray, part: np.ndarray, parts: np.ndarray, spans: list[bytes], length: int) -> np.ndarray:
-    """Rows (row, window) whose window equals one of another row with the same gram at the same offset.
+def _shared(ranks: DataFrame, tag: str) -> DataFrame:
+    """Rows of ``ranks`` whose (g, rank) other rows have too, a single-member span among them."""
+    again = ranks.groupBy("g", "rank").agg(F.count("*").alias("k"), F.min("n").alias("low")).where("k > 1 and low = 1").select("g", "rank")
+    return ranks.join(C.persisted(again, tag), ["g", "rank"])
 
-    Window w of a row starts at byte w of its span; row i takes the offsets
-    congruent to ``part`` modulo ``parts``.
-    """
-    high = (c >> 8) & 0xFF
-    count = high - (c & 0xFF) + 1
-    row = np.repeat(np.arange(len(g)), count)
-    window = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    offset = high[row] - window
-    mine = offset % parts[row] == part[row]
-    row, window, offset = row[mine], window[mine], offset[mine]
-    size = np.fromiter(map(len, spans), dtype=np.int64, count=len(spans))
-    at = (np.cumsum(size) - size)[row] + window
-    h = C.PrefixHash(np.frombuffer(b"".join(spans), dtype=np.uint8)).ranges(at, at + length)
-    key = C.mix64(h + C.mix64(g.view(np.uint64)[row] + offset.astype(np.uint64)))
-    ordered = np.sort(key)
-    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-    if not len(twice):
-        return np.zeros((0, 2), dtype=np.int64)
-    spot = np.minimum(np.searchsorted(twice, key), len(twice) - 1)
-    hit = twice[spot] == key
-    return np.stack([row[hit], window[hit]], axis=1)
-
-
-def _compare_edges(spans: DataFrame, length: int, chunk: int) -> DataFrame:
+
+def _end_ranges(edges: DataFrame, texts: DataFrame, length: int, gram: int, chunk: int) -> DataFrame:
     """(doc_id, h, range): byte ranges (start and end packed in one long) of repeated windows of single-member spans."""
-    slices = F.least(F.lit(256), F.ceil(F.col("k") / F.lit(chunk))).cast("int")
-    cut = (spans.withColumn("parts", slices).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-           .withColumn("cell", F.xxhash64("g", "part")).repartition("cell").sortWithinPartitions("cell")
-           .select("g", "c", "part", "parts", "n", "doc_id", "h", "first", "span", "cell"))
+    spark = texts.sparkSession
+    # ranked first by the bytes common to each half of the offsets, as in doubling; only shared halves are ranked by window
+    halves = C.persisted(_edge_ranks(edges.withColumn("halves", F.lit(3).cast("long")), texts, length, gram, half_width(length, gram), chunk), "repeats-halves")
+    C.release(spark)
+    left = _shared(halves, "repeats-half-ranks").groupBy("g", "c", "n", "doc_id", "spot").agg(F.bit_or(F.col("at") + 1).alias("halves"))
+    left = C.persisted(left, "repeats-left")
+    C.release(spark)
+    windows = C.persisted(_edge_ranks(left, texts, length, gram, 1, chunk).drop("c"), "repeats-windows")
+    C.release(spark)
+    start = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF)) - F.col("at")
+    # windows of one anchor: at most length - gram + 1
+    hit = (_shared(windows, "repeats-window-ranks").where("n = 1").groupBy("doc_id", "spot")
+           .agg(F.sort_array(F.collect_list(start)).alias("starts")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(t: pa.Table) -> pa.RecordBatch | None:
-            g, c, part, parts, n, first, h = (t.column(k).to_numpy() for k in ("g", "c", "part", "parts", "n", "first", "h"))
-            hits = compare_windows(g, c, part.astype(np.int64), parts.astype(np.int64), t.column("span").to_pylist(), length)
-            hits = hits[n[hits[:, 0]] == 1] if len(hits) else hits
-            if not len(hits):
-                return None
-            starts = first[hits[:, 0]] + hits[:, 1]
-            # windows of a row that follow each other become one range
-            new = np.concatenate([[True], (hits[1:, 0] != hits[:-1, 0]) | (hits[1:, 1] != hits[:-1, 1] + 1)])
-            head = np.flatnonzero(new)
-            tail = np.concatenate([head[1:], [len(hits)]]) - 1
-            rows = hits[head, 0]
-            return pa.RecordBatch.from_arrays(
-                [t.column("doc_id").combine_chunks().take(pa.array(rows)), pa.array(h[rows].astype(np.int32)),
-                 pa.array(starts[head] << 32 | (starts[tail] + length))], names=["doc_id", "h", "range"])
-
-        held: list[pa.RecordBatch] = []
         for batch in batches:
-            held.append(batch)
-            if sum(b.num_rows for b in held) < chunk:
+            starts = batch.column(2).flatten().to_numpy()
+            if not len(starts):
                 continue
-            t = pa.Table.from_batches(held)
-            cells = t.column("cell").to_numpy()
-            last = int(np.argmax(cells == cells[-1]))  # the last cell may go on
-            if last:
-                out = solve(t.slice(0, last))
-                if out is not None:
-                    yield out
-                held = t.slice(last).combine_chunks().to_batches()
-        if held:
-            out = solve(pa.Table.from_batches(held))
-            if out is not None:
-                yield out
-
-    return cut.mapInArrow(run, "doc_id long, h int, range long")
+            owner = np.repeat(np.arange(batch.num_rows), batch.column(2).value_lengths().to_numpy())
+            # windows of an anchor that follow each other become one range
+            head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (starts[1:] != starts[:-1] + 1)]))
+            tail = np.concatenate([head[1:], [len(starts)]]) - 1
+            rows = pa.array(owner[head])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts[head] << 32 | (starts[tail] + length))],
+                                             names=["doc_id", "h", "range"])
+
+    return hit.select("doc_id", _place()[0], "starts").mapInArrow(run, "doc_id long, h int, range long")
 
 
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, chunk: int = CHUNK) -> DataFrame:
@@ -207,9 +207,9 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, gram: int = GRAM, ch
     hits = C.persisted(rows.join(grams, "g"), "repeats-hits")
     C.release(spark)
     spans = C.persisted(hits.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "spot")).alias("one")), "repeats-spans")
-    shared = C.persisted(spans.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > 1), "repeats-shared")
-    edges = spans.join(shared, "g").select("g", "c", "k", "n", "one.doc_id", "one.spot")
-    ends = C.persisted(_compare_edges(_edge_spans(edges, texts, length), length, chunk), "repeats-ends")
+    shared = C.persisted(spans.groupBy("g").agg(F.count("*").alias("k")).where(F.col("k") > 1).select("g"), "repeats-shared")
+    edges = spans.join(shared, "g").select("g", "c", "n", "one.doc_id", "one.spot")
+    ends = C.persisted(_end_ranges(edges, texts, length, gram, chunk), "repeats-ends")
     C.release(spark)
     h, first, last = _place()
     whole = hits.join(spans.where(F.col("n") > 1).select("g", "c"), ["g", "c"]).select(

@@ -257,6 +257,27 @@ def test_repeats_match_brute_force(spark, edge_docs, no_docs, length, gram, chun
     assert repeats.removal_report(no_docs).count() == 0
 
 
+def test_spans_of_a_common_gram_are_not_copied_into_slices(spark, monkeypatch):
+    """A line of 150 bytes between different texts: all spans share a gram, no window is repeated but those of two planted copies."""
+    rng = np.random.default_rng(5)
+    line = "".join(rng.choice(list("abcdefgh "), 150))
+    text = lambda: "".join(rng.choice(list("abcdefgh "), 120)) + line + "".join(rng.choice(list("abcdefgh "), 120))
+    rows = [(i, text()) for i in range(300)]
+    rows.append((300, "z" * 9 + rows[0][1][30:] + "y" * 9))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    handed, original = [], type(docs).mapInArrow
+
+    def counted(self, *args, **kwargs):
+        handed.append(self.count())
+        return original(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", counted)
+    got = pairs(repeats.removal_report(docs, chunk=20), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted(got) == [(i, *w) for (i, _), w in zip(rows, brute_repeats([t for _, t in rows], 200), strict=True)]
+    assert sum(r[2] > 0 for r in got) == 2
+    assert max(handed) <= len(rows)
+
+
 def test_remove_repeats_keeps_columns(edge_docs):
     out = repeats.remove_repeats(edge_docs)
     assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
