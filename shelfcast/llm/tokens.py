@@ -3,7 +3,8 @@
 Byte-level BPE never joins characters across the start of a space that precedes
 a non-space, nor across a lone line break between non-spaces.  Texts are cut
 there, each distinct piece is encoded once by the tokenizer and then looked up;
-a text with any other run of white space goes to the tokenizer whole.  The
+a text with any other run of white space, or that spells out an added token
+such as ``<|endoftext|>``, goes to the tokenizer whole.  The
 piece table is a bounded cache per Python worker, it never changes a result.
 """
 
@@ -59,7 +60,8 @@ class PieceEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        # texts that hold an added token's own spelling are encoded whole
+        self.added = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or r"(?!)")
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         # the printable stand-in of each byte, as the model sees words
         self.letters = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
@@ -125,9 +127,9 @@ class PieceEncoder:
         if len(self.pieces) > self.capacity:
             self._trim()
         try:
-            return self._encode(texts, [i for i, t in enumerate(texts) if t and _BARE not in t])
+            return self._encode(texts, [i for i, t in enumerate(texts) if t and _BARE not in t and not self.added.search(t)])
         except OddSpace:
-            return self._encode(texts, [i for i, t in enumerate(texts) if t and not _ODD.search(t)])
+            return self._encode(texts, [i for i, t in enumerate(texts) if t and not _ODD.search(t) and not self.added.search(t)])
 
     def _encode(self, texts: list[str], plain: list[int]) -> list[np.ndarray]:
         cut = [(_BARE + texts[i].replace("\n", _BREAK)).split(" ") for i in plain]

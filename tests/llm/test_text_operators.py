@@ -72,6 +72,22 @@ def test_piece_encoder_equals_tokenizer(tok):
     assert [x.tolist() for m in many for x in small.encode([m])] == small.raw(many)
 
 
+def test_special_tokens_equal_a_fresh_tokenizer(spark, tok, tmp_path):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokens.tokenizer_path())
+    texts = ["end <|endoftext|> x", "a<|endoftext|>b c", "<|endoftext|>", "x\n<|endoftext|>\ny  z", "<|endoftext|><|endoftext|> q", "<|endoftext| > plain text"]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [437, 220, 50256, 2124]
+    assert [x.tolist() for x in tok.encode(texts)] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    sums = {(i, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes())) for i, ids in enumerate(want)}
+    pieces = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.pack(docs, with_ids=True).collect() if r.length == r.doc_tokens}
+    assert pieces and all(ids == [*want[i], 0] for i, ids in pieces.items())
+    bitplanes.write_ids(docs, str(tmp_path / "special"))
+    assert set(pairs(bitplanes.document_checksums(spark, str(tmp_path / "special")), "doc_id", "n_tokens", "ids_crc32")) == sums
+
+
 def test_packing_covers_every_id_once(edge_docs, no_docs, small_docs, tok):
     for docs in (edge_docs, small_docs):
         pieces = packing.pack(docs, with_ids=True).collect()
