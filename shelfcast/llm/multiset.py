@@ -6,7 +6,7 @@ paragraph adds or subtracts its vector.  The vector has two groups of lanes:
 
 * 8 lanes modulo 2^64 from a 512-bit digest of the paragraph: two texts agree
   on them only if they hold the same paragraphs as often;
-* 512 lanes modulo 2^16 that count the paragraph's three-word shingles, each
+* 512 lanes modulo 2^32 (a text under 2 GB has fewer than 2^30 shingles) that count the paragraph's three-word shingles, each
   hashed to a lane and a sign: the cosine of two fingerprints' lanes estimates
   the share of shingles the texts have in common, which is their likeness.
 
@@ -37,7 +37,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def vector(text: str) -> np.ndarray:
-    """Sum of the paragraph vectors of ``text``: WIDE lanes modulo 2^64, then LANES lanes modulo 2^16."""
+    """Sum of the paragraph vectors of ``text``: WIDE lanes modulo 2^64, then LANES lanes modulo 2^32."""
     data = text.encode("utf-8", "surrogatepass")
     out = np.zeros(WIDE + LANES, dtype=np.uint64)
     digests = b"".join(hashlib.blake2b(p, digest_size=8 * WIDE).digest() for p in data.split(b"\n"))
@@ -57,31 +57,31 @@ def vector(text: str) -> np.ndarray:
         h = C.PrefixHash(raw).ranges(starts[use], ends[stop[use]])
         sign = np.where(h >> np.uint64(63), 1.0, -1.0)
         lanes = np.bincount((h % np.uint64(LANES)).astype(np.int64), weights=sign, minlength=LANES)
-        out[WIDE:] = lanes.astype(np.int64).astype(np.uint64) & np.uint64(0xFFFF)
+        out[WIDE:] = lanes.astype(np.int64).astype(np.uint64) & np.uint64(0xFFFFFFFF)
     return out
 
 
 def add(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """Fingerprint of the union (or, with -1, the difference) of two paragraph multisets."""
     out = a + b if sign > 0 else a - b
-    out[WIDE:] &= np.uint64(0xFFFF)
+    out[WIDE:] &= np.uint64(0xFFFFFFFF)
     return out
 
 
 def render(v: np.ndarray) -> str:
-    return base64.b64encode(v[:WIDE].astype("<u8").tobytes() + v[WIDE:].astype("<u2").tobytes()).decode()
+    return base64.b64encode(v[:WIDE].astype("<u8").tobytes() + v[WIDE:].astype("<u4").tobytes()).decode()
 
 
 def parse(fingerprint: str) -> np.ndarray:
     data = base64.b64decode(fingerprint)
-    return np.concatenate([np.frombuffer(data[:8 * WIDE], "<u8"), np.frombuffer(data[8 * WIDE:], "<u2").astype(np.uint64)]).astype(np.uint64)
+    return np.concatenate([np.frombuffer(data[:8 * WIDE], "<u8"), np.frombuffer(data[8 * WIDE:], "<u4").astype(np.uint64)]).astype(np.uint64)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """1 for equal multisets, else the estimated cosine of their shingle counts, not below 0."""
     if np.array_equal(a, b):
         return 1.0
-    x, y = (v[WIDE:].astype(np.uint16).view(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v[WIDE:].astype(np.uint32).view(np.int32).astype(np.float64) for v in (a, b))
     norm = float(np.sqrt((x @ x) * (y @ y)))
     return min(1.0, max(0.0, float(x @ y) / norm)) if norm else 0.0
 

@@ -240,6 +240,15 @@ def test_multiset_hash(edge_docs, no_docs, spark):
     assert multiset.edited_fingerprints(edge_docs.where("doc_id = 4")).first().near_next == 1.0
 
 
+def test_likeness_of_many_equal_lines():
+    text = "a b c\n" * 100_000
+    vec = multiset.vector(text)
+    edited, edited_vec = multiset.edit_end(text, vec, len(text) * 3 // 4, "other words follow here")
+    assert np.array_equal(edited_vec, multiset.vector(edited))
+    assert multiset.likeness(vec, edited_vec) > 0.99
+    assert multiset.likeness(*map(multiset.parse, (multiset.render(vec), multiset.render(edited_vec)))) > 0.99
+
+
 # ---------------------------------------------------------------- repeats
 
 def brute_repeats(texts, length):
