@@ -6,8 +6,8 @@ sidebars, forms, adverts, comment threads and the like, told by element, role
 or class) or ``open``.  Spark orders pages by host and URL path; of the two
 neighbours the one with the longer common path is the page's pair.  Lines are
 aligned by longest common subsequence and shared lines outside ``main`` are
-deleted as the site's furniture; what is left of ``noise`` goes by its markup,
-and so does ``open`` where the page has a main element.
+deleted as the site's furniture; what is left of ``noise`` goes by its markup.
+Lines outside ``main`` that the pair lacks and no markup names stay.
 
 Shared lines inside ``main`` stay: copies of an article on one host share all
 of it, and so would lose it.  A page without a main element that shares most
@@ -154,7 +154,7 @@ def main_text(lines: list[tuple[str, str]], pair: list[tuple[str, str]] | None)
             kept.append(text)
         elif i in shared:
             n_shared += 1
-        elif zone == NOISE or has_main:
+        elif zone == NOISE:
             n_markup += 1
         else:
             kept.append(text)

@@ -99,3 +99,10 @@ def test_extract_pairs_nearest_pages(spark):
         assert got[9].text == "same" and got[9].n_shared == 1
         assert all(r.n_chars == len(r.text) for r in got.values())
     assert pagediff.extract(pages.limit(0)).count() == 0
+
+
+def test_differencing_decides_lines_outside_the_article(spark):
+    page = lambda n: f"<div>Site menu</div><nav>nav {n}</nav><div>Lead text of {n}</div><article><p>Story {n}</p></article><div>Legal</div>"
+    pages = spark.createDataFrame([(i, f"http://h.example/a{i}", page(i)) for i in range(3)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in pagediff.extract(pages).collect()}
+    assert all(got[i].text == f"Lead text of {i}\n\nStory {i}" and (got[i].n_shared, got[i].n_markup) == (2, 1) for i in range(3))
