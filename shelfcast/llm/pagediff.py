@@ -10,8 +10,10 @@ deleted as the site's furniture; what is left of ``noise`` goes by its markup.
 Lines outside ``main`` that the pair lacks and no markup names stay.
 
 Shared lines inside ``main`` stay: copies of an article on one host share all
-of it, and so would lose it.  A page without a main element that shares most
-of its characters with its pair is taken as such a copy and keeps its lines.
+of it, and so would lose it.  On a page without a main element a shared line
+goes only by evidence on the line itself: Spark counts the host's distinct pages
+that hold it, pages with equal text outside the named furniture once, and it
+must be ``HOLDERS`` of them, or two that are at least half of the host's.
 
 Edge cases: null html is an empty page, which is nobody's pair; a null URL, or a host with one page,
 has no pair and loses only noise; unclosed and badly nested elements end at the
@@ -22,6 +24,7 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
 from collections import defaultdict
@@ -36,7 +39,7 @@ from shelfcast.llm import common as C
 from shelfcast.llm.ordered import AFTER, OWN, with_neighbours
 
 MAIN, OPEN, NOISE = "main", "open", "noise"
-COPY_SHARE = 0.8
+HOLDERS = 3
 
 # fixed values: HTML element names and the class, id and role words that mark page furniture
 RAW = "script style noscript template iframe object svg math canvas textarea select title".split()
@@ -140,14 +143,16 @@ def common_lines(a: list[str], b: list[str]) -> list[int]:
     return out[::-1]
 
 
-def main_text(lines: list[tuple[str, str]], pair: list[tuple[str, str]] | None) -> tuple[str, int, int]:
+def line_hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def shared_lines(lines: list[tuple[str, str]], pair: list[tuple[str, str]] | None) -> set[int]:
+    return set(common_lines([t for t, _ in lines], [t for t, _ in pair])) if pair else set()
+
+
+def main_text(lines: list[tuple[str, str]], shared: set[int]) -> tuple[str, int, int]:
     """(text, lines deleted as shared, lines deleted by markup)."""
-    shared = set(common_lines([t for t, _ in lines], [t for t, _ in pair])) if pair else set()
-    has_main = any(z == MAIN for _, z in lines)
-    if not has_main:
-        size = sum(len(t) for t, z in lines if z == OPEN)
-        if sum(len(lines[i][0]) for i in shared if lines[i][1] == OPEN) >= COPY_SHARE * size:
-            shared = {i for i in shared if lines[i][1] == NOISE}
     kept, n_shared, n_markup = [], 0, 0
     for i, (text, zone) in enumerate(lines):
         if zone == MAIN:
@@ -171,6 +176,53 @@ def _common_prefix(a: str, b: str) -> int:
 
 
 TEXTS = "page_id long, url string, text string, n_chars long, n_shared long, n_markup long"
+# host and look (hash of the lines that are not noise); lines are set where shared open lines await evidence
+ALIGNED = TEXTS + ", host string, look long, lines array<struct<line: string, zone: string, shared: boolean>>"
+_LINES = pa.list_(pa.struct([("line", pa.string()), ("zone", pa.string()), ("shared", pa.bool_())]))
+
+
+def look_hash(lines: list[tuple[str, str]]) -> int:
+    return line_hash("\n".join(z[0] + t for t, z in lines if z != NOISE))
+
+
+def _looks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, look, bare: no line in main, opens: hashes of the open lines) of every page."""
+    for batch in batches:
+        found = [page_lines(h) for h in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([look_hash(x) for x in found], pa.int64()), pa.array([not any(z == MAIN for _, z in x) for x in found], pa.bool_()),
+             pa.array([sorted({line_hash(t) for t, z in x if z == OPEN}) for x in found], pa.list_(pa.int64()))], names=["host", "look", "bare", "opens"])
+
+
+def _furniture_lines(src: DataFrame) -> DataFrame:
+    """(host, look, gone): hashes of the open lines of a page without main that enough distinct pages of the host hold."""
+    looks = C.persisted(src.where("host != '' and html != ''").select("host", "html").mapInArrow(_looks, "host string, look long, bare boolean, opens array<long>")
+                        .groupBy("host", "look").agg(F.first("bare").alias("bare"), F.first("opens").alias("opens")), "pages-looks")
+    looks = looks.join(looks.where("bare and size(opens) > 0").select("host").distinct(), "host", "left_semi")
+    rows = looks.select("host", "look", "bare", F.explode("opens").alias("line"))
+    held = rows.groupBy("host", "line").agg(F.count("*").alias("held")).where("held > 1")
+    furniture = held.join(looks.groupBy("host").agg(F.count("*").alias("pages")), "host").where((F.col("held") >= HOLDERS) | (2 * F.col("held") >= F.col("pages")))
+    # lines of one page: bounded by the page; written so that a small table is broadcast and pages are not shuffled again
+    gone = rows.where("bare").join(C.persisted(furniture.select("host", "line"), "pages-furniture"), ["host", "line"])
+    return C.persisted(gone.groupBy("host", "look").agg(F.collect_set("line").alias("gone")), "pages-gone")
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of all pages, those whose shared open lines wait for evidence settled by it."""
+    for batch in batches:
+        rows = []
+        for *done, lines, gone in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+            if lines is None:
+                rows.append(done)
+                continue
+            pid, url, gone = done[0], done[1], set(gone or ())
+            shared = {i for i, x in enumerate(lines) if x["shared"] and (x["zone"] == NOISE or line_hash(x["line"]) in gone)}
+            text, n_shared, n_markup = main_text([(x["line"], x["zone"]) for x in lines], shared)
+            rows.append((pid, url, text, len(text), n_shared, n_markup))
+        if rows:
+            types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                             names=[f.split()[0] for f in TEXTS.split(", ")])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", part_bytes: int = 8 << 20) -> DataFrame:
@@ -189,12 +241,17 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         def result(before, now, after):
             near = [p for p in (after, before) if p and now["host"] and p["host"] == now["host"] and p["part"] == now["part"]]
             pair = max(near, key=lambda p: _common_prefix(p["path"], now["path"]), default=None)
-            text, n_shared, n_markup = main_text(now["lines"], pair["lines"] if pair else None)
-            return now["page_id"], now["url"], text, len(text), n_shared, n_markup
+            lines = now["lines"]
+            shared = shared_lines(lines, pair["lines"] if pair else None)
+            waits = any(lines[i][1] == OPEN for i in shared) and not any(z == MAIN for _, z in lines)
+            text, n_shared, n_markup = ("", 0, 0) if waits else main_text(lines, shared)
+            marked = [{"line": t, "zone": z, "shared": i in shared} for i, (t, z) in enumerate(lines)] if waits else None
+            return now["page_id"], now["url"], text, len(text), n_shared, n_markup, now["host"], look_hash(lines), marked
 
         def batch_of(rows):
-            types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+            types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), _LINES]
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                              names=[*names, "host", "look", "lines"])
 
         for batch in batches:
             rows = []
@@ -211,6 +268,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
         if now and now["side"] == OWN:
             yield batch_of([result(before, now, None)])
 
-    found = lined.select("page_id", "url", "host", "path", "_range", "_side", "html").mapInArrow(run, TEXTS)
+    found = lined.select("page_id", "url", "host", "path", "_range", "_side", "html").mapInArrow(run, ALIGNED)
+    done = found.join(_furniture_lines(src), ["host", "look"], "left").select(*names, "lines", "gone").mapInArrow(_settle, TEXTS)
     empty = src.where("html = ''").select("page_id", "url", F.lit("").alias("text"), *[F.lit(0).cast("long").alias(c) for c in names[3:]])
-    return found.unionByName(empty)
+    return done.unionByName(empty)

@@ -106,3 +106,21 @@ def test_differencing_decides_lines_outside_the_article(spark):
     pages = spark.createDataFrame([(i, f"http://h.example/a{i}", page(i)) for i in range(3)], "page_id long, url string, html string")
     got = {r.page_id: r for r in pagediff.extract(pages).collect()}
     assert all(got[i].text == f"Lead text of {i}\n\nStory {i}" and (got[i].n_shared, got[i].n_markup) == (2, 1) for i in range(3))
+
+
+def test_lines_go_by_the_pages_that_hold_them(spark):
+    menu = "".join(f"<div>Menu entry number {i} with a long label</div>" for i in range(20))
+    rows = [(i, f"http://short.example/p{i}", f"{menu}<p>Tiny {i}</p>{menu}") for i in range(4)]
+    paras = [f"<p>Paragraph {i} of an article printed twice</p>" for i in range(6)]
+    rows += [(10, "http://near.example/a/x1", "<div>Top</div>" + "".join(paras) + "<p>own end</p><p>more</p><p>of it</p><p>here</p>"),
+             (11, "http://near.example/a/x2", "<div>Top</div>" + "".join(paras) + "<p>other end</p><p>quite</p><p>another</p><p>one</p>"),
+             (12, "http://near.example/a/x2", "<div>Top</div>" + "".join(paras) + "<p>other end</p><p>quite</p><p>another</p><p>one</p>")]
+    rows += [(20 + i, f"http://near.example/b/{i}", f"<div>Top</div><p>Story {i}</p>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r for r in pagediff.extract(pages).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].text == f"Tiny {i}" and got[i].n_shared == 40 for i in range(4))
+    article = [f"Paragraph {i} of an article printed twice" for i in range(6)]
+    assert got[10].text.split("\n\n") == [*article, "own end", "more", "of it", "here"]
+    assert got[11].text == got[12].text == "\n\n".join([*article, "other end", "quite", "another", "one"])
+    assert all(got[20 + i].text == f"Story {i}" and got[20 + i].n_shared == 1 for i in range(8))
