@@ -74,3 +74,45 @@ SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remove
        sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * last_end + 1) END)) AS kept_sha256
 FROM doc LEFT JOIN kept USING (r)
 """
+
+ORACLE["op13_filter_audit"] = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), label AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), smallest AS (SELECT t, min(doc_id) AS least FROM doc GROUP BY t),
+failing AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, {
+    'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    'D': regexp_matches(t, '[#$%&*|]'), 'E': coalesce(doc.doc_id > least, false)} AS f
+  FROM doc JOIN smallest USING (t) LEFT JOIN label ON doc.doc_id = label.doc_id
+), letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), grouped AS (
+  SELECT part, good, toxic, f.A::INT AS fa, f.B::INT AS fb, f.C::INT AS fc, f.D::INT AS fd, f.E::INT AS fe, count(*) AS n
+  FROM failing GROUP BY ALL
+), ranked AS (
+  SELECT *, least(CASE WHEN fa = 1 THEN strpos(filter_order, 'A') ELSE 9 END, CASE WHEN fb = 1 THEN strpos(filter_order, 'B') ELSE 9 END,
+    CASE WHEN fc = 1 THEN strpos(filter_order, 'C') ELSE 9 END, CASE WHEN fd = 1 THEN strpos(filter_order, 'D') ELSE 9 END,
+    CASE WHEN fe = 1 THEN strpos(filter_order, 'E') ELSE 9 END) AS gone FROM grouped, orders
+), stepped AS (
+  SELECT *, CAST(i AS INTEGER) AS step, substr(filter_order, CAST(i AS INTEGER), 1) AS letter FROM ranked, unnest(range(1, 6)) AS u(i)
+), cell AS (
+  SELECT part, filter_order, step, letter,
+    sum(CASE WHEN gone > step THEN n ELSE 0 END) AS kept, sum(CASE WHEN gone = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN gone < step AND CASE letter WHEN 'A' THEN fa WHEN 'B' THEN fb WHEN 'C' THEN fc WHEN 'D' THEN fd ELSE fe END = 1
+        THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fa + fb + fc + fd + fe = 1 AND CASE letter WHEN 'A' THEN fa WHEN 'B' THEN fb WHEN 'C' THEN fc WHEN 'D' THEN fd ELSE fe END = 1
+        THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN gone = step AND good THEN n ELSE 0 END) AS good_lost, sum(CASE WHEN gone = step AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM stepped GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM cell
+"""

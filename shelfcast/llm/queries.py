@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, ctw, decontaminate, multiset, packing, pagediff, repeats, simhash, toxicity, warc
+from shelfcast.llm import bitplanes, ctw, decontaminate, filteraudit, multiset, packing, pagediff, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -101,3 +101,9 @@ def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by differencing with its nearest page."""
     found = pagediff.extract(C.table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", "n_chars", "n_shared", "n_markup")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders: what each step keeps, removes and repeats, per language."""
+    return filteraudit.interaction_audit(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
