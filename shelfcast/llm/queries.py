@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import bitplanes, ctw, decontaminate, filteraudit, multiset, packing, pagediff, repeats, simhash, toxicity, warc
+from shelfcast.llm import aligntokens, bitplanes, ctw, decontaminate, filteraudit, multiset, packing, pagediff, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -107,3 +107,11 @@ def op9_page_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders: what each step keeps, removes and repeats, per language."""
     return filteraudit.interaction_audit(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_token_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of two tokenizers per document, judged by corpus-wide link counts."""
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return aligntokens.corpus_alignment(docs).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -52,16 +52,22 @@ class Pieces(dict):
 
 
 class PieceEncoder:
-    """``encode(texts)`` -> ids per text, those of ``encode(text, add_special_tokens=False)``."""
+    """``encode(texts)`` -> ids per text, those of ``encode(text, add_special_tokens=False)``.
 
-    def __init__(self, path: str, capacity: int = 350_000):
+    ``lead_space`` encodes space + text instead and takes added tokens' spellings as plain text."""
+
+    def __init__(self, path: str, capacity: int = 350_000, lead_space: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = lead_space
+        self.lead = " " if lead_space else ""
+        self.first = "" if lead_space else _BARE
         # texts that hold an added token's own spelling are encoded whole
-        self.added = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()) or r"(?!)")
+        added = [] if lead_space else self.tok.get_added_tokens_decoder().values()
+        self.added = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         # the printable stand-in of each byte, as the model sees words
         self.letters = {b: level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
@@ -132,7 +138,7 @@ class PieceEncoder:
             return self._encode(texts, [i for i, t in enumerate(texts) if t and not _ODD.search(t) and not self.added.search(t)])
 
     def _encode(self, texts: list[str], plain: list[int]) -> list[np.ndarray]:
-        cut = [(_BARE + texts[i].replace("\n", _BREAK)).split(" ") for i in plain]
+        cut = [(self.first + texts[i].replace("\n", _BREAK)).split(" ") for i in plain]
         counts = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
         try:
             at = np.fromiter(map(self.pieces.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(counts.sum()))
@@ -150,7 +156,7 @@ class PieceEncoder:
             out[i] = ids[done:end]
             done = end
         direct = [i for i, x in enumerate(out) if x is None]
-        for i, own in zip(direct, self.raw([texts[i] for i in direct]), strict=True):
+        for i, own in zip(direct, self.raw([self.lead + texts[i] for i in direct]), strict=True):
             out[i] = np.asarray(own, dtype=np.uint32)
         return out
 
