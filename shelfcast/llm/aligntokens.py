@@ -43,8 +43,8 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
 # characters handed to the tokenizers at a time, and the length from which one text is cut
 RUN_CHARS = 1 << 19
-PIECE_CACHE = 250_000
-WINDOW_CACHE = 200_000
+PIECE_CACHE = 350_000
+WINDOW_CACHE = 400_000
 _MARK = np.uint32(0xFFFFFFFF)
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -91,20 +91,16 @@ class Memo:
     def __init__(self, capacity: int):
         self.half, self.new, self.old = capacity // 2, {}, {}
 
-    def get(self, key: bytes):
-        found = self.new.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.new[key] = found
-        return found
-
-    def put(self, key: bytes, value) -> None:
-        self.new[key] = value
-
-    def trim(self) -> None:
+    def find(self, keys: list[bytes]) -> list:
+        """The value of each key, None where there is none."""
         if len(self.new) > self.half:
             self.new, self.old = {}, self.new
+        known = [*map(self.new.get, keys)]
+        if self.old and None in known:
+            for w, found in enumerate(known):
+                if found is None and (found := self.old.get(keys[w])) is not None:
+                    known[w] = self.new[keys[w]] = found
+        return known
 
 
 class Aligner:
@@ -112,6 +108,8 @@ class Aligner:
         import sentencepiece
 
         self.a = PieceEncoder(path_a, PIECE_CACHE, lead_space=True)
+        # a byte-level vocabulary with all single bytes and no normalizer spells every text
+        self.lossless = self.a.tok.normalizer is None and all(self.a.tok.token_to_id(c) is not None for c in byte_letters())
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a_bytes, self.b_bytes, _ = vocabulary_bytes(path_a, path_b)
         self.a_len = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
@@ -144,10 +142,13 @@ class Aligner:
                 continue
             b = np.array(known.pop(i), dtype=np.uint32) if i in known else self.encode_b(text)
             whole = (" " + text).encode()
-            same = (b"".join(map(self.b_bytes.__getitem__, b.tolist())) == whole
-                    and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole)
+            same = self.spells(self.b_bytes, b, whole) and (self.lossless or self.spells(self.a_bytes, a, whole))
             yield (a, b) if same else (nothing, nothing)
 
+    @staticmethod
+    def spells(pieces: list[bytes], ids: np.ndarray, whole: bytes) -> bool:
+        return b"".join(map(pieces.__getitem__, ids.tolist())) == whole
+
     def aligned(self, ids: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[str, bytes]]:
         """(groups, link codes) per document of a run."""
         sizes_a, sizes_b = (np.array([len(x[side]) for x in ids], dtype=np.int64) for side in (0, 1))
@@ -172,8 +173,7 @@ class Aligner:
         buffer[np.repeat(start + n_a + 1 - (stop_b - n_b), n_b) + np.arange(len(b))] = b
         raw = buffer.tobytes()
         keys = [raw[x:y] for x, y in zip((4 * start).tolist(), (4 * stop).tolist(), strict=True)]
-        self.memo.trim()
-        known = [*map(self.memo.get, keys)]
+        known = self.memo.find(keys)
         first = {}
         for w, found in enumerate(known):
             if found is None:
@@ -183,8 +183,7 @@ class Aligner:
             new[list(first.values())] = True
             rows = self.align_windows(a[np.repeat(new, n_a)], b[np.repeat(new, n_b)], n_b[new])
             fresh = dict(zip(first, rows, strict=True))
-            for key, value in fresh.items():
-                self.memo.put(key, value)
+            self.memo.new.update(fresh)
             known = [fresh[keys[w]] if found is None else found for w, found in enumerate(known)]
         out, at = [], 0
         for size, end in zip(sizes_a.tolist(), (np.searchsorted(stop_a, np.cumsum(sizes_a)) + 1).tolist(), strict=True):
