@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import aligntokens, bitplanes, ctw, decontaminate, filteraudit, multiset, packing, pagediff, repeats, simhash, toxicity, warc
+from shelfcast.llm import aligntokens, bitplanes, ctw, decontaminate, disclosure, filteraudit, multiset, packing, pagediff, repeats, simhash, toxicity, warc
 from shelfcast.llm import common as C
 from shelfcast.session import scratch_path
 
@@ -115,3 +115,9 @@ def op11_token_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
     return aligntokens.corpus_alignment(docs).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and the terms that reveal it."""
+    return disclosure.span_report(C.table(spark, sf_dir, "documents").select("doc_id", "text"))
