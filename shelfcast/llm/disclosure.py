@@ -52,6 +52,8 @@ MIN_LETTERS = 3
 STEMS = (5, 3)
 # slots of the hash filter: 2 MB whatever the corpus
 FILTER_BITS = 24
+# items that a task counts before it hands the sums on
+HELD_ITEMS = 200_000
 # rows of a common term are spread over so many tasks
 SALTS = 16
 
@@ -209,12 +211,19 @@ def _document_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(table.value).view(bool)
+        seen: Counter[str] = Counter()
+
+        def summed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([*seen], pa.string()), pa.array([*seen.values()], pa.int64())], names=["item", "n"])
+
         for _, texts in _texts(batches):
-            seen: Counter[str] = Counter()
             for text in texts:
                 words = _vocabulary(text, base_spans(text))
                 seen.update(_maybe(bits, [*words, *{s for size in STEMS for w in words if (s := stem(w, size))}]))
-            yield pa.RecordBatch.from_arrays([pa.array([*seen], pa.string()), pa.array([*seen.values()], pa.int64())], names=["item", "n"])
+            if len(seen) > HELD_ITEMS:
+                yield summed()
+                seen.clear()
+        yield summed()
 
     counts = docs.select("text").mapInArrow(run, "item string, n long").groupBy("item").agg(F.sum("n").alias("df"))
     return wanted.select("item").distinct().join(counts, "item")
