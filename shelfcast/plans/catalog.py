@@ -22,6 +22,8 @@ from shelfcast.operators import constraints as C
 from shelfcast.operators import drivers as D
 from shelfcast.operators import forecast as FC
 from shelfcast.operators import gold as G
+from shelfcast.operators import history as H
+from shelfcast.operators import planning as P
 from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
 from shelfcast.plans import jobs as JOBS
@@ -29,6 +31,8 @@ from shelfcast.schemas import SALES_TRANSACTIONS
 from shelfcast.session import apply_required_conf, scratch_path, shared_root
 from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
+from shelfcast.streaming import current_state as STATE
+from shelfcast.streaming import daily_demand as DAILY
 from shelfcast.streaming import landing as STREAM
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +200,41 @@ def q_land_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.read_lake_table(spark, bronze).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
 
 
+@query("stream_current_state")
+def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5: current transactions kept by the stream, messages redelivered and stamped backwards, a few files per batch."""
+    src, root = scratch_path(spark, "stream_source"), scratch_path(spark, "current_state")
+    log = RV.change_log(spark, sf_dir, redeliver=True)
+    for third in range(3):
+        part = log.filter(F.pmod(F.col("offset"), F.lit(3)) == third)
+        part.withColumn("timestamp", F.expr(f"timestamp - INTERVAL {third * 500} DAYS")).write.mode("append").parquet(src)
+    STATE.maintain_current_state(spark, src, root, scratch_path(spark, "stream_ckpt"), buckets=16, max_per_trigger=16)
+    return comparable(STATE.current_transactions(spark, root))
+
+
+def _arrival(column: str = "sale_ts"):
+    """Arrival wave of a sale: years in order, but every 11th order of a year comes with the next wave or later."""
+    order = F.split("transaction_id", "-")[0].cast("long")
+    own = F.greatest(F.lit(0), F.floor((F.year(column) - 1992) / 2)).cast("int")
+    return F.when(order % 11 == 0, F.least(own + 1, F.lit(DAILY_WAVES - 1))).otherwise(F.least(own, F.lit(DAILY_WAVES - 1)))
+
+
+DAILY_WAVES = 4
+
+
+@query("stream_daily_demand")
+def q_stream_daily_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: days closed by the watermark over four arrivals of sales, and the sales that came after their day was closed."""
+    src, closed, late, checkpoint = (scratch_path(spark, p) for p in ("sales_stream", "closed_days", "late_sales", "daily_ckpt"))
+    sales = stored(current_typed(spark, sf_dir).select("transaction_id", "store_id", "sku_id", "sale_ts", "units").withColumn("_wave", _arrival()))
+    for wave in range(DAILY_WAVES):
+        sales.filter(F.col("_wave") == wave).drop("_wave").write.mode("append").parquet(src)
+        DAILY.drain_daily_demand(spark, src, closed, late, checkpoint)
+    listed = DAILY.late_sales(spark, late).groupBy("store_id", "sku_id", F.to_date("sale_ts").alias("business_date")).agg(
+        F.sum("units").cast("long").alias("units_sold"), F.count(F.lit(1)).alias("sales"))
+    return DAILY.closed_days(spark, closed).withColumn("state", F.lit("closed")).unionByName(listed.withColumn("state", F.lit("late")))
+
+
 # ------------------------------------------------------------------ silver
 
 
@@ -546,6 +585,57 @@ def q_baseline_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- planning
+
+# Replenishment period: sales are rare per day, an order covers four weeks.
+ORDER_DAYS = 28
+
+
+@query("conformal_intervals")
+def q_conformal_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of the holdout with a 90 % band from the 28 days before it."""
+    panel, bounds = panel_of(spark, sf_dir)
+    return P.conformal_intervals(panel, *window_scalars(bounds))
+
+
+@query("conformal_coverage")
+def q_conformal_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many holdout days the bands cover, against the target."""
+    return P.coverage(q_conformal_intervals(spark, sf_dir))
+
+
+@query("newsvendor_orders")
+def q_newsvendor_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order quantity for four weeks per store and SKU at its critical ratio."""
+    gold = gold_table(spark, sf_dir)
+    return P.newsvendor(gold, RV.products(spark, sf_dir), FC.calendar_bounds(gold), period=ORDER_DAYS)
+
+
+@query("policy_backtest")
+def q_policy_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost of seasonal-naive and newsvendor orders over three rolling origins."""
+    gold = gold_table(spark, sf_dir)
+    bounds, products = FC.calendar_bounds(gold), stored(RV.products(spark, sf_dir))
+    return P.policy_cost(P.rolling_orders(gold, products, bounds, P.rolling_cutoffs(bounds), period=ORDER_DAYS), products)
+
+
+# ----------------------------------------------------------------- history
+
+
+@query("record_history")
+def q_record_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validity intervals of every record of the four tables."""
+    return comparable(H.record_history(silver_table(spark, sf_dir)))
+
+
+@query("gold_as_of_day")
+def q_gold_as_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold with the store and product as known on the day."""
+    gold = gold_table(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
+    dimensions = S.silver_events(landed_bronze(spark, sf_dir).where("source_table IN ('stores', 'products')"), RV.AS_OF)
+    return comparable(H.enriched_gold(gold, stored(H.record_history(dimensions))))
+
+
 # ----------------------------------------------------------------- drivers
 
 

@@ -601,3 +601,105 @@ SELECT transaction_id, units,
   CAST(round(CAST(units AS DECIMAL(10,0)) * CAST(round(unit_price * (1 - discount_pct), 2) AS DECIMAL(10,2)), 2)
     AS DOUBLE) AS net_revenue
 FROM current_tx""")
+
+
+# ------------------------------------------- state, streams, planning, history
+
+ORACLE["stream_current_state"] = ORACLE["current_transactions"]
+
+ORACLE["stream_daily_demand"] = with_base("""
+, arriving AS (
+  SELECT *, CAST(least(3, greatest(0, (year(sale_ts) - 1992) // 2) + CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wave
+  FROM current_tx
+), mark AS (
+  SELECT wave, max(max(sale_ts)) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - INTERVAL 2 DAY AS after_wave
+  FROM arriving GROUP BY wave
+), judged AS (
+  SELECT a.*, CAST(sale_ts AS DATE) + INTERVAL 1 DAY AS day_end,
+    (SELECT max(after_wave) FROM mark m WHERE m.wave < a.wave) AS before, (SELECT max(after_wave) FROM mark) AS last
+  FROM arriving a
+)
+SELECT store_id, sku_id, CAST(sale_ts AS DATE) AS business_date, CAST(sum(units) AS BIGINT) AS units_sold, count(*) AS sales,
+  CASE WHEN day_end <= before THEN 'late' ELSE 'closed' END AS state
+FROM judged WHERE day_end <= last GROUP BY ALL""")
+
+_CONFORMAL = """
+, slice AS (
+  SELECT p.*, CAST(p.business_date - CAST(7 * ceil(datediff('day', CAST(win.cutoff_date - 28 AS DATE), p.business_date) / 7.0) AS INTEGER) AS DATE) AS lag_day
+  FROM panel p JOIN win ON p.business_date > win.cutoff_date - 28 AND p.business_date <= win.cutoff_date
+), calib AS (
+  SELECT c.store_id, c.sku_id, abs(c.units_sold - greatest(0.0, coalesce(h.units_sold, 0.0))) AS miss
+  FROM slice c JOIN panel h ON h.store_id = c.store_id AND h.sku_id = c.sku_id AND h.business_date = c.lag_day
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY store_id, sku_id ORDER BY miss) AS r, count(*) OVER (PARTITION BY store_id, sku_id) AS n FROM calib
+), radius AS (
+  SELECT store_id, sku_id, miss AS radius FROM ranked WHERE r = ceil((n + 1) * 0.9)
+), banded AS (
+  SELECT store_id, sku_id, business_date, actual_units, forecast_units, radius, greatest(0.0, forecast_units - radius) AS lower_units,
+    forecast_units + radius AS upper_units, actual_units BETWEEN greatest(0.0, forecast_units - radius) AND forecast_units + radius AS covered
+  FROM fc JOIN radius USING (store_id, sku_id)
+)"""
+ORACLE["conformal_intervals"] = with_base(_CONFORMAL + " SELECT * FROM banded")
+ORACLE["conformal_coverage"] = with_base(_CONFORMAL + """
+SELECT count(*) AS rows, count(*) FILTER (WHERE covered) AS covered_rows,
+  CAST(count(*) FILTER (WHERE covered) AS DOUBLE) / count(*) AS coverage, 0.9::DOUBLE AS target_coverage,
+  CAST(sum(CAST(upper_units - lower_units AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS mean_width FROM banded""")
+
+ORACLE["newsvendor_orders"] = with_base("""
+, period AS (
+  SELECT store_id, sku_id, sum(units_sold) AS units_sold FROM panel, bounds
+  WHERE datediff('day', business_date, hi) // 28 < (datediff('day', lo, hi) + 1) // 28
+  GROUP BY store_id, sku_id, datediff('day', business_date, hi) // 28
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY store_id, sku_id ORDER BY units_sold) AS r, count(*) OVER (PARTITION BY store_id, sku_id) AS n
+  FROM period
+)
+SELECT store_id, sku_id, CAST(any_value(unit_price - unit_cost) AS DOUBLE) / CAST(any_value(unit_price) AS DOUBLE) AS critical_ratio,
+  min(CASE WHEN r * unit_price >= n * (unit_price - unit_cost) THEN units_sold END) AS order_units
+FROM ranked JOIN products_t USING (sku_id) GROUP BY store_id, sku_id""")
+
+ORACLE["policy_backtest"] = with_base("""
+, fold AS (SELECT CAST(hi - 28 * CAST(i AS INTEGER) AS DATE) AS cutoff_date, lo FROM bounds, unnest([1, 2, 3]) AS u(i)),
+period AS (
+  SELECT p.store_id, p.sku_id, f.cutoff_date, sum(p.units_sold) AS units_sold
+  FROM panel p JOIN fold f ON p.business_date <= f.cutoff_date
+  WHERE datediff('day', p.business_date, f.cutoff_date) // 28 < (datediff('day', f.lo, f.cutoff_date) + 1) // 28
+  GROUP BY p.store_id, p.sku_id, f.cutoff_date, datediff('day', p.business_date, f.cutoff_date) // 28
+), ranked AS (
+  SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY store_id, sku_id, cutoff_date) AS n,
+    max(units_sold) OVER (PARTITION BY store_id, sku_id, cutoff_date) AS most
+  FROM period WINDOW w AS (PARTITION BY store_id, sku_id, cutoff_date ORDER BY units_sold)
+), quantity AS (
+  SELECT store_id, sku_id, cutoff_date, min(CASE WHEN r * unit_price >= n * (unit_price - unit_cost) THEN units_sold END) AS q
+  FROM ranked JOIN products_t USING (sku_id) GROUP BY ALL HAVING max(most) > 0
+), tested AS (
+  SELECT p.store_id, p.sku_id, f.cutoff_date, sum(p.units_sold) AS demand, sum(h.units_sold) AS seasonal
+  FROM panel p JOIN fold f ON p.business_date > f.cutoff_date AND p.business_date <= f.cutoff_date + 28
+  JOIN panel h ON h.store_id = p.store_id AND h.sku_id = p.sku_id
+    AND h.business_date = CAST(p.business_date - CAST(7 * ceil(datediff('day', f.cutoff_date, p.business_date) / 7.0) AS INTEGER) AS DATE)
+  GROUP BY ALL
+), ordered AS (
+  SELECT sku_id, cutoff_date, demand, 'seasonal_naive' AS policy, seasonal AS o FROM tested
+  UNION ALL
+  SELECT sku_id, cutoff_date, demand, 'newsvendor', coalesce(q, 0.0) FROM tested LEFT JOIN quantity USING (store_id, sku_id, cutoff_date)
+), costed AS (
+  SELECT policy, cutoff_date, CAST(greatest(demand - o, 0) AS DECIMAL(14,2)) * (unit_price - unit_cost) AS u,
+    CAST(greatest(o - demand, 0) AS DECIMAL(14,2)) * unit_cost AS v FROM ordered JOIN products_t USING (sku_id)
+)
+SELECT policy, cutoff_date, count(*) AS orders, 0::BIGINT AS unpriced_orders, CAST(sum(u) AS DOUBLE) AS understock_cost,
+  CAST(sum(v) AS DOUBLE) AS overstock_cost, CAST(sum(u) AS DOUBLE) + CAST(sum(v) AS DOUBLE) AS total_cost
+FROM costed GROUP BY policy, cutoff_date""")
+
+ORACLE["record_history"] = with_base("""
+, chained AS (
+  SELECT source_table, kafka_key AS record_key, epoch_ms(event_ts_ms) AS valid_from,
+    epoch_ms(lead(event_ts_ms) OVER (PARTITION BY source_table, kafka_key ORDER BY event_ts_ms, source_lsn, topic, kafka_partition, kafka_offset)) AS valid_to,
+    record_data, is_deleted FROM msg
+)
+SELECT source_table, record_key, valid_from, valid_to, record_data FROM chained
+WHERE NOT is_deleted AND (valid_to IS NULL OR valid_to > valid_from)""")
+
+ORACLE["gold_as_of_day"] = with_base(f"""
+SELECT g.store_id, g.sku_id, g.business_date, g.units_sold, s.region, s.store_format, p.category, CAST(p.unit_price AS DOUBLE) AS list_price
+FROM gold g LEFT JOIN stores_t s ON s.store_id = g.store_id AND TIMESTAMP '{SNAPSHOT_AT}' < g.business_date + INTERVAL 1 DAY
+LEFT JOIN products_t p ON p.sku_id = g.sku_id AND TIMESTAMP '{SNAPSHOT_AT}' < g.business_date + INTERVAL 1 DAY""")
