@@ -52,8 +52,8 @@ def transaction_key() -> Column:
     return F.coalesce(from_key, J.path(J.parse("record_data"), "$.transaction_id"))
 
 
-def typed_sales(events: DataFrame) -> DataFrame:
-    """Parse ``record_data`` of sales events into the typed transaction frame."""
+def typed_sales(events: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Parse ``record_data`` of sales events into the typed transaction frame (``carry``: columns kept beside it)."""
     staged = events.withColumn("_p", J.parse("record_data"))
     p = F.col("_p")
     return staged.select(
@@ -77,6 +77,7 @@ def typed_sales(events: DataFrame) -> DataFrame:
         F.col("kafka_partition"),
         F.col("kafka_offset"),
         F.col("is_deleted"),
+        *[F.col(c) for c in carry or []],
     )
 
 

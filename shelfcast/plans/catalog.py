@@ -26,8 +26,9 @@ from shelfcast.operators import history as H
 from shelfcast.operators import planning as P
 from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
+from shelfcast.plans import incremental as INC
 from shelfcast.plans import jobs as JOBS
-from shelfcast.schemas import SALES_TRANSACTIONS
+from shelfcast.schemas import GOLD, SALES_TRANSACTIONS
 from shelfcast.session import apply_required_conf, scratch_path, shared_root
 from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
@@ -364,6 +365,20 @@ def q_gold_append_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(L.read_lake_table(spark, gold), drop=("gold_loaded_at",))
 
 
+@query("incremental_gold")
+def q_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze lands in three parts, silver and gold are appended after each; the last part holds late versions of old sales."""
+    root = scratch_path(spark, "incremental")
+    bronze, silver, gold = (f"{root}/{p}" for p in ("bronze", "silver", "gold"))
+    log = stored(RV.change_log(spark, sf_dir))
+    third = F.pmod(F.col("offset") + F.col("partition"), F.lit(3))
+    for part in range(3):
+        JOBS.land_bronze_batch(log.filter(third == part), bronze, RV.AS_OF)
+        INC.append_silver(spark, bronze, silver, RV.AS_OF)
+        INC.append_gold(spark, silver, gold, RV.AS_OF)
+    return comparable(L.read_lake_table(spark, gold, schema=GOLD), drop=("gold_loaded_at",))
+
+
 @query("date_decoding")
 def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payload epoch-day integers -> dates (distinct days)."""

@@ -607,6 +607,8 @@ FROM current_tx""")
 
 ORACLE["stream_current_state"] = ORACLE["current_transactions"]
 
+ORACLE["incremental_gold"] = ORACLE["gold_daily_demand"]
+
 ORACLE["stream_daily_demand"] = with_base("""
 , arriving AS (
   SELECT *, CAST(least(3, greatest(0, (year(sale_ts) - 1992) // 2) + CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wave

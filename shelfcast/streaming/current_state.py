@@ -33,24 +33,27 @@ def bucket_of(key, buckets: int):
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def committed_buckets(spark: SparkSession, root: str, before: int | None = None) -> dict[int, str]:
-    """bucket -> folder of its newest committed version (of batches below ``before``)."""
-    found: dict[int, tuple[int, str]] = {}
+def committed_parts(spark: SparkSession, root: str, before: int | None = None) -> dict[str, str]:
+    """partition value -> folder of its newest committed version (of batches below ``before``)."""
+    found: dict[str, tuple[int, str]] = {}
     for name in L.list_folders(spark, root):
         batch = int(name.partition("=")[2])
         if (before is not None and batch >= before) or not L.table_exists(spark, f"{root}/{name}/_SUCCESS"):
             continue
         for part in L.list_folders(spark, f"{root}/{name}"):
-            bucket = int(part.partition("=")[2])
-            if found.get(bucket, (-1, ""))[0] < batch:
-                found[bucket] = (batch, f"{root}/{name}/{part}")
-    return {bucket: path for bucket, (_, path) in found.items()}
+            value = part.partition("=")[2]
+            if found.get(value, (-1, ""))[0] < batch:
+                found[value] = (batch, f"{root}/{name}/{part}")
+    return {value: path for value, (_, path) in found.items()}
 
 
-def _rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    if not paths:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(*sorted(paths))
+def next_batch(spark: SparkSession, root: str) -> int:
+    """One more than the newest batch folder, committed or not."""
+    return max((int(name.partition("=")[2]) for name in L.list_folders(spark, root)), default=-1) + 1
+
+
+def read_parts(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(*sorted(paths)) if paths else spark.createDataFrame([], schema)
 
 
 def latest_events(messages: DataFrame) -> DataFrame:
@@ -61,25 +64,36 @@ def latest_events(messages: DataFrame) -> DataFrame:
 
 
 def merge_batch(messages: DataFrame, batch_id: int, root: str, buckets: int = BUCKETS) -> list[int]:
-    """Merge one micro-batch into the state; returns the buckets it wrote."""
-    spark = messages.sparkSession
-    new = latest_events(messages).withColumn("bucket", bucket_of(F.col(KEY), buckets)).persist()
+    """Merge one micro-batch of Kafka rows into the state; returns the buckets it wrote."""
+    new = latest_events(messages).persist()
     try:
-        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
-        if not touched:
-            return []
-        stored = committed_buckets(spark, root, before=batch_id)
-        old = _rows(spark, [stored[b] for b in touched if b in stored]).withColumn("bucket", bucket_of(F.col(KEY), buckets))
-        merged = G.latest_per_key(old.unionByName(new.select(*old.columns)), KEY, CARRIED).withColumn("bucket", bucket_of(F.col(KEY), buckets))
-        merged.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
-        return touched
+        return merge_events(new, batch_id, root, buckets)
     finally:
         new.unpersist()
 
 
+def stored_events(spark: SparkSession, root: str, touched: list[int], before: int | None = None) -> DataFrame:
+    stored = committed_parts(spark, root, before)
+    return read_parts(spark, [stored[str(b)] for b in touched if str(b) in stored], STATE_SCHEMA)
+
+
+def touched_buckets(new: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    return sorted(r[0] for r in new.select(bucket_of(F.col(KEY), buckets).alias("b")).distinct().collect())
+
+
+def merge_events(new: DataFrame, batch_id: int, root: str, buckets: int = BUCKETS) -> list[int]:
+    """Merge the latest events of a batch, one per key, into the buckets of their keys."""
+    touched = touched_buckets(new, buckets)
+    if touched:
+        old = stored_events(new.sparkSession, root, touched, before=batch_id)
+        merged = G.latest_per_key(old.unionByName(new.select(*old.columns)), KEY, CARRIED).withColumn("bucket", bucket_of(F.col(KEY), buckets))
+        merged.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
+    return touched
+
+
 def drop_superseded(spark: SparkSession, root: str, keep_from: int) -> None:
-    """Delete bucket versions that a newer committed batch below ``keep_from`` replaces."""
-    current = set(committed_buckets(spark, root, before=keep_from).values())
+    """Delete partition versions that a newer committed batch below ``keep_from`` replaces."""
+    current = set(committed_parts(spark, root, before=keep_from).values())
     for name in L.list_folders(spark, root):
         if int(name.partition("=")[2]) < keep_from:
             for part in L.list_folders(spark, f"{root}/{name}"):
@@ -105,7 +119,7 @@ def maintain_current_state(spark: SparkSession, source: str, root: str, checkpoi
 
 def current_state(spark: SparkSession, root: str) -> DataFrame:
     """The latest event of every transaction, tombstones included."""
-    return _rows(spark, list(committed_buckets(spark, root.rstrip("/")).values()))
+    return read_parts(spark, list(committed_parts(spark, root.rstrip("/")).values()), STATE_SCHEMA)
 
 
 def current_transactions(spark: SparkSession, root: str) -> DataFrame:
