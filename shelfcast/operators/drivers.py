@@ -100,7 +100,8 @@ def expected_demand(rows: DataFrame, stores: DataFrame, products: DataFrame, pro
 
     base * store multiplier * weekday * seasonality * trend * payday * promotion
     lift, floored at 0.05.  Dimension joins are plain equi-joins; AQE turns them
-    into broadcasts when the measured dimension side is small.
+    into broadcasts when the measured dimension side is small.  A row whose store or
+    product is unknown stays, with a null demand (and a null lift without a product).
     """
     st = stores.select("store_id", F.col("demand_multiplier").cast("double").alias("store_multiplier"))
     pr = products.select(
@@ -110,7 +111,7 @@ def expected_demand(rows: DataFrame, stores: DataFrame, products: DataFrame, pro
         F.col("price_elasticity").cast("double").alias("price_elasticity"),
     )
     with_promo = active_promotion(rows, promotions)
-    joined = with_promo.join(st, "store_id").join(pr, "sku_id")
+    joined = with_promo.join(st, "store_id", "left").join(pr, "sku_id", "left")
     d = F.col("business_date")
     lift = promotion_lift(F.col("promo_discount_pct"), F.col("price_elasticity"), F.col("promo_feature_display"))
     demand = (
@@ -125,7 +126,7 @@ def expected_demand(rows: DataFrame, stores: DataFrame, products: DataFrame, pro
     return joined.select(
         "store_id", "sku_id", "business_date", "promotion_id",
         lift.alias("promotion_lift"),
-        F.greatest(demand, F.lit(DEMAND_FLOOR)).alias("expected_demand"),
+        F.when(demand.isNotNull(), F.greatest(demand, F.lit(DEMAND_FLOOR))).alias("expected_demand"),
     )
 
 

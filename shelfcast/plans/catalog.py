@@ -26,9 +26,8 @@ from shelfcast.operators import history as H
 from shelfcast.operators import planning as P
 from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
-from shelfcast.plans import incremental as INC
 from shelfcast.plans import jobs as JOBS
-from shelfcast.schemas import GOLD, SALES_TRANSACTIONS
+from shelfcast.schemas import SALES_TRANSACTIONS
 from shelfcast.session import apply_required_conf, scratch_path, shared_root
 from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
@@ -255,12 +254,11 @@ def q_operation_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("canonical_json")
 def q_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw sales envelopes (field order as produced) -> sorted, compact JSON."""
+    """Raw envelopes of all four topics (field order as produced) -> sorted, compact JSON."""
     from shelfcast.functions.json_fns import canonical_json
 
-    log = RV.change_log(spark, sf_dir).filter(F.col("topic") == RV.topic_for("sales_transactions"))
-    return log.select(
-        F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
+    return RV.change_log(spark, sf_dir).select(
+        "topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
         canonical_json(F.col("value").cast("string")).alias("canonical_value"),
     )
 
@@ -365,31 +363,21 @@ def q_gold_append_after_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(L.read_lake_table(spark, gold), drop=("gold_loaded_at",))
 
 
-@query("incremental_gold")
-def q_incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze lands in three parts, silver and gold are appended after each; the last part holds late versions of old sales."""
-    root = scratch_path(spark, "incremental")
-    bronze, silver, gold = (f"{root}/{p}" for p in ("bronze", "silver", "gold"))
-    log = stored(RV.change_log(spark, sf_dir))
-    third = F.pmod(F.col("offset") + F.col("partition"), F.lit(3))
-    for part in range(3):
-        JOBS.land_bronze_batch(log.filter(third == part), bronze, RV.AS_OF)
-        INC.append_silver(spark, bronze, silver, RV.AS_OF)
-        INC.append_gold(spark, silver, gold, RV.AS_OF)
-    return comparable(L.read_lake_table(spark, gold, schema=GOLD), drop=("gold_loaded_at",))
+# Payload fields that hold dates, by table.
+DATE_FIELDS = [("sales_transactions", "business_date"), ("stores", "opened_on"), ("promotions", "start_date"), ("promotions", "end_date")]
 
 
 @query("date_decoding")
 def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payload epoch-day integers -> dates (distinct days)."""
+    """Payload epoch-day integers -> dates, every date field of the four tables (distinct days)."""
     from shelfcast.functions import json_fns as J
     from shelfcast.functions.dates import variant_date
 
-    sales = G.sales_events(silver_table(spark, sf_dir)).select(J.parse("record_data").alias("p"))
-    return sales.select(
-        J.path(F.col("p"), "$.business_date", "int").alias("epoch_day"),
-        variant_date(F.col("p"), "$.business_date").alias("business_date"),
-    ).distinct()
+    parsed = silver_table(spark, sf_dir).select("source_table", J.parse("record_data").alias("p"))
+    fields = F.array(*[F.struct(F.lit(t).alias("source_table"), F.lit(f).alias("field"), J.path(F.col("p"), f"$.{f}", "int").alias("epoch_day"),
+                                variant_date(F.col("p"), f"$.{f}").alias("decoded")) for t, f in DATE_FIELDS])
+    found = parsed.select("source_table", F.explode(fields).alias("d"))
+    return found.where("source_table = d.source_table").select("d.*").distinct()
 
 
 @query("inspect_table")

@@ -11,8 +11,8 @@ is simply run again.
 Gold needs the old place of a changed sale.  Two helper tables beside it answer that
 without a scan of silver, both in committed batch folders of which the newest version per
 partition counts: the latest event per transaction in buckets of its key, and the live
-sales by business date.  A run reads the buckets of the changed transactions, takes from them
-the dates they leave and the dates they enter, and rewrites those dates only.
+sales by month.  A run reads the buckets of the changed transactions, takes from them the
+dates they leave and the dates they enter, and rewrites gold for those dates only.
 """
 
 from __future__ import annotations
@@ -94,7 +94,7 @@ def append_silver(spark: SparkSession, bronze_path: str, silver_path: str, loade
 
 @dataclass(frozen=True)
 class GoldState:
-    """Folders of the helper tables: latest event per transaction, and live sales by business date."""
+    """Folders of the helper tables: latest event per transaction, and live sales by month of the business date."""
 
     events: str
     sales: str
@@ -148,14 +148,16 @@ def append_gold(spark: SparkSession, silver_path: str, gold_path: str, loaded_at
         entering = typed_sales_by_key(after).dropna(subset=G.GROUP_KEYS)
         leaving = typed_sales_by_key(before.join(keys, STATE.KEY, "left_semi"))
         dates = sorted(r[0] for r in entering.select("business_date").unionByName(leaving.select("business_date")).distinct().collect() if r[0])
-        stored = STATE.read_parts(spark, [known[str(d)] for d in dates if str(d) in known], SALES_SCHEMA).where(f"{STATE.KEY} IS NOT NULL")
+        months = sorted({d.strftime("%Y-%m") for d in dates})
+        stored = STATE.read_parts(spark, [known[m] for m in months if m in known], SALES_SCHEMA).where(f"{STATE.KEY} IS NOT NULL")
         held = stored.join(keys, STATE.KEY, "left_anti").unionByName(entering)
-        # a row without key stands for the date itself, so that an emptied date has a newest version too
+        # a row without key stands for the month itself, so that an emptied month has a newest version too
         marks = spark.createDataFrame([(d,) for d in dates], "business_date date")
-        version = held.unionByName(marks, allowMissingColumns=True).withColumn("_day", F.col("business_date"))
-        version.repartition(F.col("_day")).write.mode("overwrite").partitionBy("_day").parquet(f"{state.sales}/batch={batch}")
+        version = held.unionByName(marks, allowMissingColumns=True).withColumn("_month", F.date_format("business_date", "yyyy-MM"))
+        version.hint("rebalance", "_month").write.mode("overwrite").partitionBy("_month").parquet(f"{state.sales}/batch={batch}")
         now = STATE.committed_parts(spark, state.sales)
-        current = STATE.read_parts(spark, [now[str(d)] for d in dates], SALES_SCHEMA).where(f"{STATE.KEY} IS NOT NULL")
+        current = STATE.read_parts(spark, [now[m] for m in months], SALES_SCHEMA).where(f"{STATE.KEY} IS NOT NULL").join(
+            marks, "business_date", "left_semi")
         gold = G.gold_daily_demand(current, loaded_at)
         L.write_lake_table(gold, gold_path, "dynamic", J.GOLD_PARTITIONS, sort_within=["store_id", "sku_id"])
         left = {r[0] for r in current.select("business_date").distinct().collect()}

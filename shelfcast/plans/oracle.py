@@ -279,16 +279,16 @@ SELECT source_table, operation,
   is_snapshot, is_deleted, COUNT(*) AS events
 FROM msg GROUP BY ALL""")
 
-ORACLE["canonical_json"] = with_base(f"""
-SELECT kafka_partition, kafka_offset,
+ORACLE["canonical_json"] = with_base("""
+SELECT topic, kafka_partition, kafka_offset,
   CAST(json_object(
-    'after', CASE WHEN operation <> 'd' THEN payload END,
-    'before', CASE WHEN operation = 'd' THEN payload END,
+    'after', CASE WHEN operation <> 'd' THEN CAST(record_data AS JSON) END,
+    'before', CASE WHEN operation = 'd' THEN CAST(record_data AS JSON) END,
     'op', operation,
-    'source', json_object('lsn', event_ts_ms, 'schema', 'retail', 'snapshot', 'false',
-                          'table', 'sales_transactions', 'ts_ms', event_ts_ms),
+    'source', json_object('lsn', source_lsn, 'schema', 'retail', 'snapshot', CASE WHEN is_snapshot THEN 'true' ELSE 'false' END,
+                          'table', source_table, 'ts_ms', event_ts_ms),
     'ts_ms', event_ts_ms) AS VARCHAR) AS canonical_value
-FROM sales_json""")
+FROM msg""")
 
 ORACLE["dedup_coordinates"] = with_base(f"""
 SELECT topic, kafka_partition, kafka_offset, ingest_id, source_table, operation,
@@ -333,8 +333,13 @@ SELECT (SELECT COUNT(*) FROM msg) AS silver_rows, (SELECT COUNT(*) FROM current_
 FROM gold""")
 
 ORACLE["date_decoding"] = with_base("""
-SELECT DISTINCT CAST(datediff('day', DATE '1970-01-01', business_date) AS INTEGER) AS epoch_day, business_date
-FROM sales_ev""")
+, decoded AS (
+  SELECT 'sales_transactions' AS source_table, 'business_date' AS field, business_date AS decoded FROM sales_ev
+  UNION SELECT 'stores', 'opened_on', opened_on FROM stores_t
+  UNION SELECT 'promotions', 'start_date', start_date FROM promos_t
+  UNION SELECT 'promotions', 'end_date', end_date FROM promos_t
+)
+SELECT source_table, field, CAST(datediff('day', DATE '1970-01-01', decoded) AS INTEGER) AS epoch_day, decoded FROM decoded""")
 
 # ----------------------------------------------------------------- quality
 
@@ -607,8 +612,6 @@ FROM current_tx""")
 
 ORACLE["stream_current_state"] = ORACLE["current_transactions"]
 
-ORACLE["incremental_gold"] = ORACLE["gold_daily_demand"]
-
 ORACLE["stream_daily_demand"] = with_base("""
 , arriving AS (
   SELECT *, CAST(least(3, greatest(0, (year(sale_ts) - 1992) // 2) + CASE WHEN l_orderkey % 11 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS wave
