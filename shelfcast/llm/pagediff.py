@@ -51,11 +51,15 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dial
 NOISE_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies
 consent disqus footer menu nav navbar navigation newsletter notice notices pagination popup promo promotion related replies share sharing
 sidebar signup social sponsor sponsored subscribe toolbar widget""".split())
+# words that only say how something is laid out
+LAYOUT_WORDS = frozenset("area bar block body box buttons container content inner item items link links list main row section slot unit wrap wrapper".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*)>|<[!?][^>]*(?:>|\Z)",
     re.S | re.I)
+# a tag that the end of the page cuts off; a bare "<" is text
+_UNFINISHED = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 
@@ -68,11 +72,17 @@ def _furniture(name: str, attrs: str, in_main: bool) -> bool:
         value, key = "".join(values).lower(), key.lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value in NOISE_ROLES:
             return True
-        if key in ("class", "id") and name not in ("article", "main", "body", "html") and NOISE_WORDS & set(re.split(r"[\s_-]+", value)):
+        if key in ("class", "id") and name not in ("article", "main", "body", "html") and any(_names_furniture(c, in_main) for c in value.split()):
             return True
     return False
 
 
+def _names_furniture(token: str, in_main: bool) -> bool:
+    """Does a class or id name page furniture?  In an article all its words must: ``comment-list`` does, ``share-price`` does not."""
+    words = {w for w in re.split(r"[_-]+", token) if w}
+    return bool(NOISE_WORDS & words) and (not in_main or words <= NOISE_WORDS | LAYOUT_WORDS)
+
+
 def page_lines(html: str | None) -> list[tuple[str, str]]:
     """(line, zone) per block of text, in page order."""
     out: list[tuple[str, str]] = []
@@ -116,7 +126,7 @@ def page_lines(html: str | None) -> list[tuple[str, str]]:
                 flush()
             noise_name, noise_depth = name, 1
     if at < len(html):
-        held.append(html[at:].partition("<")[0] if "<" in html[at:] else html[at:])
+        held.append(_UNFINISHED.sub("", html[at:]))
     flush()
     return out
 
