@@ -162,16 +162,18 @@ class PieceEncoder:
 
 
 @cache
-def encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+def encoder(path: str, capacity: int) -> PieceEncoder:
+    return PieceEncoder(path, capacity)
 
 
-def doc_ids(texts: list[str | None], path: str, run_chars: int = 1 << 20):
-    """Yield (index, uint32 ids with the end id) per text, encoding about ``run_chars`` characters at a time."""
+def doc_ids(texts: list[str | None], path: str, run_chars: int = 1 << 20, capacity: int = 450_000):
+    """Yield (index, uint32 ids with the end id) per text, encoding about ``run_chars`` characters at a time.
+
+    ``capacity`` bounds the pieces a worker keeps (some 250 bytes each)."""
     from shelfcast.llm.common import text_runs
 
     texts = [t or "" for t in texts]
-    enc = encoder(path)
+    enc = encoder(path, capacity)
     for a, b in text_runs([len(t) for t in texts], run_chars):
         for i, ids in enumerate(enc.encode(texts[a:b]), start=a):
             yield i, np.append(ids, np.uint32(END_ID))
