@@ -52,7 +52,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# fitting, suffix ranks and tokenisation have no SQL form; tests compare run() with a brute-force version
+# fitting, suffix ranks and tokenisation have no SQL form; tests compare run() with the stages called one by one
 ORACLE_SQL = None
 
 
