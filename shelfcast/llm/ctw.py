@@ -14,8 +14,11 @@ lists its distinct (context, byte) grams and words with training counts; counts
 are summed over blocks, so what is gathered grows with the corpus; the tree is
 solved per range of contexts (subtrees under the two nearest bytes are
 independent, the at most 65,536 nodes of depth one meet on the driver); the log
-probabilities and word counts a block asked for are joined back and meet its
-texts.  No task holds the model, only its block's part.
+probabilities and word counts a block asked for are joined back and sorted
+before its texts, which pass one by one.  No task holds the model, only what its
+block asked for (16 bytes a gram), and long texts are cut into slices.  A word is
+asked for unless its count follows from the text at hand: words seen once in
+training, in the block's training texts alone, and words never seen.
 
 The base score is the add-one unigram of the words and the end token.
 
@@ -27,20 +30,23 @@ other input columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm import common as C
 
 DEPTH = 5
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 36 << 20
 SLICE = 1 << 20
 MARK = 0xFF  # in no UTF-8 text: padding before the start and the end symbol
+GRAM, WORD, TEXT = 0, 1, 2  # what a row of a block holds, in the order a task reads them
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -62,12 +68,11 @@ def log_mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.logaddexp(a, b) - np.log(2)
 
 
-def gram_keys(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, text number) of every byte and end symbol; a key is the context, nearest byte first, then the byte."""
-    pad = bytes([MARK]) * depth
-    raw = np.frombuffer(b"".join(pad + b + b"\xff" for b in bodies), dtype=np.uint8).astype(np.uint64)
-    size = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies)) + 1
-    owner = np.repeat(np.arange(len(bodies)), size)
+def gram_keys(parts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(key, part number) of every byte after a part's first ``depth``; a key is the context, nearest byte first, then the byte."""
+    raw = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint64)
+    size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) - depth
+    owner = np.repeat(np.arange(len(parts)), size)
     at = np.arange(len(owner)) + depth * (owner + 1)
     key = np.zeros(len(owner), dtype=np.uint64)
     for d in range(1, depth + 1):
@@ -75,6 +80,35 @@ def gram_keys(bodies: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
     return (key << np.uint64(8)) | raw[at], owner
 
 
+def gram_slices(bodies: list[bytes], depth: int, limit: int = SLICE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(key, text number) of every byte and end symbol, at most about ``limit`` at a time; long texts are cut."""
+    parts, numbers, size = [], [], 0
+    for i, body in enumerate(bodies):
+        whole = bytes([MARK]) * depth + body + bytes([MARK])
+        for a in range(0, len(body) + 1, limit):
+            part = whole[a:a + limit + depth]
+            if parts and size + len(part) > limit:
+                key, owner = gram_keys(parts, depth)
+                yield key, np.array(numbers)[owner]
+                parts, numbers, size = [], [], 0
+            parts.append(part)
+            numbers.append(i)
+            size += len(part)
+    if parts:
+        key, owner = gram_keys(parts, depth)
+        yield key, np.array(numbers)[owner]
+
+
+def word_slices(body: bytes, limit: int = SLICE) -> Iterator[list[bytes]]:
+    """The words of a text, those of some ``limit`` bytes at a time."""
+    start = 0
+    while start < len(body):
+        gap = _SPACE.search(body, start + limit)
+        end = gap.start() if gap else len(body)
+        yield body[start:end].split()
+        start = end
+
+
 def _sum_by_key(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
@@ -195,49 +229,78 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def _emit(block: int, keys, words, counts: list[int], size: int = 100_000) -> Iterator[pa.RecordBatch]:
-    n = len(keys) if keys is not None else len(words)
+PAIRS = "block long, gram long, word binary, held boolean, n long"
+
+
+def _emit(block: int, keys, words, held, counts, size: int = 100_000) -> Iterator[pa.RecordBatch]:
+    n = len(counts)
     for a in range(0, n, size):
         b = min(n, a + size)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.full(b - a, block, dtype=np.int64)),
             pa.array(keys[a:b].view(np.int64)) if keys is not None else pa.nulls(b - a, pa.int64()),
             pa.array(words[a:b], pa.binary()) if words is not None else pa.nulls(b - a, pa.binary()),
-            pa.array(counts[a:b], pa.int64())], names=["block", "gram", "word", "n"])
+            pa.array(held[a:b], pa.bool_()) if held is not None else pa.nulls(b - a, pa.bool_()),
+            pa.array(counts[a:b], pa.int64())], names=["block", "gram", "word", "held", "n"])
+
+
+class _BlockCounts:
+    """Distinct grams and words of one block, with their training counts."""
+
+    def __init__(self, block: int, depth: int):
+        self.block, self.depth = block, depth
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.fresh, self.waiting = [], 0
+        self.words, self.held = Counter(), set()
+
+    def add(self, bodies: list[bytes], held: bool) -> None:
+        for key, _ in gram_slices(bodies, self.depth):
+            grams, n = np.unique(key, return_counts=True)
+            self.fresh.append((grams, np.zeros_like(n) if held else n))
+            self.waiting += len(grams)
+            if self.waiting > SLICE:
+                self.merge()
+        for body in bodies:
+            for words in word_slices(body):
+                (self.held if held else self.words).update(words)
+
+    def merge(self) -> None:
+        grams, counts = zip((self.keys, self.counts), *self.fresh, strict=True)
+        self.keys, self.counts = _sum_by_key(np.concatenate(grams), np.concatenate(counts))
+        self.fresh, self.waiting = [], 0
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        yield from _emit(self.block, self.keys, None, None, self.counts)
+        seen = list(self.words)
+        yield from _emit(self.block, None, seen, [w in self.held for w in seen], list(self.words.values()))
+        idle = list(self.held - self.words.keys())
+        yield from _emit(self.block, None, idle, [True] * len(idle), [0] * len(idle))
 
 
 def block_counts(texts: DataFrame, depth: int) -> DataFrame:
-    """(block, gram, null, n) and (block, null, word, n): what each block holds, with its training counts."""
+    """(block, gram, null, null, n) and (block, null, word, held, n): what each block holds, with its training
+    counts; ``held`` says that a held-out text of the block has the word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, words, extra, keys, counts = None, Counter(), set(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-        def flush():
-            yield from _emit(block, keys, None, counts)
-            names = [*words, *(extra - words.keys())]
-            yield from _emit(block, None, names, [words.get(w, 0) for w in names])
-
+        now = None
         for batch in batches:
             blocks = batch.column(0).to_numpy(zero_copy_only=False)
             bodies = [b.lower() for b in batch.column(1).to_pylist()]
-            held = batch.column(2).to_numpy(zero_copy_only=False)
+            held = batch.column(2).to_pylist()
             cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
             for lo, hi in zip(cuts, cuts[1:], strict=False):
-                if block is not None and blocks[lo] != block:
-                    yield from flush()
-                    words, extra, keys, counts = Counter(), set(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-                block = int(blocks[lo])
-                for a, b in C.text_runs([len(x) for x in bodies[lo:hi]], SLICE):
-                    part, out = bodies[lo + a:lo + b], held[lo + a:lo + b]
-                    key, owner = gram_keys(part, depth)
-                    fresh, n = np.unique(key[~out[owner]], return_counts=True)
-                    idle = np.unique(key[out[owner]])
-                    keys, counts = _sum_by_key(np.concatenate([keys, fresh, idle]), np.concatenate([counts, n, np.zeros(len(idle), np.int64)]))
-                    for body, skip in zip(part, out.tolist(), strict=True):
-                        (extra if skip else words).update(body.split())
-        if block is not None:
-            yield from flush()
-
-    return texts.select("block", "body", "held_out").mapInArrow(run, "block long, gram long, word binary, n long")
+                if lo == hi:
+                    continue
+                if now is None or blocks[lo] != now.block:
+                    if now is not None:
+                        yield from now.rows()
+                    now = _BlockCounts(int(blocks[lo]), depth)
+                for out in (False, True):
+                    now.add([b for b, h in zip(bodies[lo:hi], held[lo:hi], strict=True) if h == out], out)
+        if now is not None:
+            yield from now.rows()
+
+    return texts.select("block", "body", "held_out").mapInArrow(run, PAIRS)
 
 
 def _solve(totals: DataFrame, depth: int, top: int, schema: str, answer) -> DataFrame:
@@ -305,54 +368,70 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth
     scores = gram_scores(pairs, depth)
     grams = C.persisted(pairs.where(F.col("word").isNull()).select("block", "gram").join(scores, "gram").select("block", "gram", "value"), "ctw-wanted")
     C.release(spark)
-    # a word has one row per block that holds it
-    same = Window.partitionBy("word")
-    counted = (pairs.where(F.col("word").isNotNull()).withColumn("c", F.sum("n").over(same))
-               .withColumn("lead", F.row_number().over(same.orderBy("block")) == 1))
-    counted = C.persisted(counted.select("block", "word", "n", "c", "lead"), "ctw-words")
+    words = pairs.where(F.col("word").isNotNull()).select("block", "word", "held", "n")
+    totals = C.persisted(words.groupBy("word").agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("blocks")), "ctw-words")
     C.release(spark)
-    known = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("lead") & (F.col("c") > 0))).first()
+    known = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     ends = sums[1]
     n_train, distinct = known[0] + ends, known[1] + (ends > 0)
-    wanted = grams.select("block", "gram", F.lit(None).cast("binary").alias("word"), "value").unionByName(
-        counted.where(F.col("c") != F.col("n")).select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value")))
-    log_base = float(np.log10(n_train + distinct + 1))
-
-    def run(texts: pa.Table, asked: pa.Table) -> pa.Table:
-        is_gram = asked.column("word").is_null()
-        own = asked.filter(is_gram)
-        gram, value = own.column("gram").to_numpy().view(np.uint64), own.column("value").to_numpy()
-        order = np.argsort(gram)
-        gram, value = gram[order], value[order]
-        other = asked.filter(asked.column("word").is_valid())
-        bodies = texts.column("body")
-        held = texts.column("held_out").to_numpy()
-        # words of the block: numbers, and training counts of the block unless the corpus has more
-        number: dict[bytes, int] = {}
-        tokens = [np.fromiter((number.setdefault(w, len(number)) for w in bodies[i].as_py().lower().split()), dtype=np.int32)
-                  for i in range(len(bodies))]
-        count = np.zeros(len(number))
-        for own_tokens, skip in zip(tokens, held.tolist(), strict=True):
-            if not skip:
-                count += np.bincount(own_tokens, minlength=len(number)) if len(own_tokens) > 4096 else 0
-                if len(own_tokens) <= 4096:
-                    np.add.at(count, own_tokens, 1)
-        for chunk in other.to_batches(max_chunksize=65536):
-            for w, c in zip(chunk.column("word").to_pylist(), chunk.column("value").to_pylist(), strict=True):
-                count[number[w]] = c
-        log_count = np.log10(count + 1)
-        log_end = float(np.log10(ends + 1))
-        n_tokens = [len(t) + 1 for t in tokens]
-        n_known = [int((count[t] > 0).sum()) + (ends > 0) for t in tokens]
-        base = [float(log_count[t].sum()) + log_end - n * log_base for t, n in zip(tokens, n_tokens, strict=True)]
-        scores, bits = np.zeros(len(bodies)), np.zeros(len(bodies))
-        sizes = np.array([len(b.as_buffer()) for b in bodies], dtype=np.int64)
-        for a, b in C.text_runs(sizes.tolist(), SLICE):
-            key, owner = gram_keys([bodies[i].as_py().lower() for i in range(a, b)], depth)
-            scores[a:b] = np.bincount(owner, weights=value[np.searchsorted(gram, key)], minlength=b - a)
-        bits = -scores / np.log10(2) / (sizes + 1)
-        return pa.table({"doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array(n_tokens, pa.int64()),
-                         "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array([n_train] * len(bodies), pa.int64()),
-                         "base_score": pa.array(base, pa.float64()), "score": pa.array(scores), "bits_per_byte": pa.array(bits)})
-
-    return texts.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(run, SCORES)
+    # a word of one block has that block's count
+    counted = words.join(totals.where("blocks > 1").select("word", "c"), "word", "left").withColumn("c", F.coalesce("c", "n"))
+    counted = counted.where((F.col("c") != F.col("n")) | (F.col("n") > 1) | ((F.col("n") == 1) & F.col("held")))
+
+    def rows(df: DataFrame, kind: int, key, value, body) -> DataFrame:
+        return df.select((F.col("block") * 4 + kind).alias("place"), key.cast("long").alias("key"), value.cast("double").alias("value"),
+                         body.cast("binary").alias("body"))
+
+    none = F.lit(None)
+    stream = C.union_all([rows(grams, GRAM, F.col("gram"), F.col("value"), none), rows(counted, WORD, none, F.col("c"), F.col("word")),
+                          rows(texts, TEXT, F.col("doc_id"), F.col("held_out").cast("int"), F.col("body"))])
+    log_base, log_end = float(np.log10(n_train + distinct + 1)), float(np.log10(ends + 1))
+
+    def scored(part: pa.RecordBatch, gram: np.ndarray, value: np.ndarray, count: dict[bytes, float]) -> pa.RecordBatch:
+        bodies = [b.lower() for b in part.column("body").to_pylist()]
+        held = [v > 0 for v in part.column("value").to_pylist()]
+        n_tokens, n_known, base = [], [], []
+        for body, out in zip(bodies, held, strict=True):
+            n, seen, log_sum = 1, int(ends > 0), log_end
+            for words in word_slices(body):
+                # not asked for: seen once, in this training text, or never
+                c = np.array([count.get(w, 0.0 if out else 1.0) for w in words])
+                n, seen, log_sum = n + len(c), seen + int((c > 0).sum()), log_sum + float(np.log10(c + 1).sum())
+            n_tokens.append(n)
+            n_known.append(seen)
+            base.append(log_sum - n * log_base)
+        scores = np.zeros(len(bodies))
+        for key, owner in gram_slices(bodies, depth):
+            scores += np.bincount(owner, weights=value[np.searchsorted(gram, key)], minlength=len(bodies))
+        sizes = np.fromiter(map(len, bodies), dtype=np.int64, count=len(bodies))
+        return pa.RecordBatch.from_arrays([
+            part.column("key"), pa.array(held, pa.bool_()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+            pa.array([n_train] * len(bodies), pa.int64()), pa.array(base, pa.float64()), pa.array(scores),
+            pa.array(-scores / np.log10(2) / (sizes + 1))],
+            names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, fresh, count = None, [], {}
+        gram, value = np.zeros(0, np.uint64), np.zeros(0)
+        for batch in batches:
+            places = batch.column("place").to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(places[1:] != places[:-1]) + 1).tolist(), len(places)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                at, kind = divmod(int(places[lo]), 4)
+                if at != block:
+                    block, fresh, count = at, [], {}
+                part = batch.slice(lo, hi - lo)
+                if kind == GRAM:
+                    fresh.append((part.column("key").to_numpy(zero_copy_only=False).view(np.uint64), part.column("value").to_numpy(zero_copy_only=False)))
+                elif kind == WORD:
+                    count.update(zip(part.column("body").to_pylist(), part.column("value").to_pylist(), strict=True))
+                else:
+                    if fresh:
+                        gram, value = (np.concatenate(a) for a in zip(*fresh, strict=True))
+                        order = np.argsort(gram)
+                        gram, value, fresh = gram[order], value[order], []
+                    yield scored(part, gram, value, count)
+
+    return stream.repartition(F.shiftright("place", 2)).sortWithinPartitions("place").mapInArrow(run, SCORES)

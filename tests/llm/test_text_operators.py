@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -372,6 +373,32 @@ def test_context_tree_matches_brute_force(edge_docs, small_docs, no_docs):
     assert ctw.score(no_docs).count() == 0
 
 
+def test_context_tree_slices_of_a_long_text():
+    rng = np.random.default_rng(5)
+    body = b" ".join(bytes(rng.integers(97, 123, int(n), dtype=np.uint8)) for n in rng.integers(1, 60, 900))
+    bodies = [b"", b"ab c", body, b"tail"]
+    whole = sorted((int(o), int(k)) for keys, owner in ctw.gram_slices(bodies, 5, 1 << 30) for k, o in zip(keys, owner, strict=True))
+    assert len(whole) == sum(len(b) + 1 for b in bodies)
+    for limit in (1, 7, 1000):
+        assert whole == sorted((int(o), int(k)) for keys, owner in ctw.gram_slices(bodies, 5, limit) for k, o in zip(keys, owner, strict=True))
+        assert max(len(keys) for keys, _ in ctw.gram_slices(bodies, 5, limit)) <= limit
+        assert [w for words in ctw.word_slices(body, limit) for w in words] == body.split()
+
+
+def test_context_tree_holds_one_long_text_in_bounded_memory():
+    """50 MB in one document: neither the grams nor the words of a slice grow with the text."""
+    body = b"lorem ipsum dolor sit amet " * (50_000_000 // 27)
+    block = ctw._BlockCounts(0, 5)
+    tracemalloc.start()
+    block.add([body], False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 * len(body)
+    assert sum(block.words.values()) == 5 * (50_000_000 // 27)
+    block.merge()
+    assert int(block.counts.sum()) == len(body) + 1
+
+
 def test_context_tree_without_training_rows(spark):
     docs = spark.createDataFrame([(i, "abc") for i in range(60) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
     out = ctw.score(docs).collect()
