@@ -27,7 +27,8 @@ from shelfcast.operators import planning as P
 from shelfcast.operators import quality as Q
 from shelfcast.operators import silver as S
 from shelfcast.plans import jobs as JOBS
-from shelfcast.schemas import SALES_TRANSACTIONS
+from shelfcast.plans import metadata as META
+from shelfcast.schemas import BRONZE, KAFKA_ROW, SALES_TRANSACTIONS
 from shelfcast.session import apply_required_conf, scratch_path, shared_root
 from shelfcast.sources import lakehouse as L
 from shelfcast.sources import retail_view as RV
@@ -200,6 +201,35 @@ def q_land_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.read_lake_table(spark, bronze).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
 
 
+# the newest broker time less this is the watermark of the second arrival
+DEDUP_DELAY = "1000 days"
+
+
+@query("stream_watermark_dedup")
+def q_stream_watermark_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Redeliveries dropped by the stream's own state; every 7th offset arrives later, and is lost behind the watermark."""
+    src, out, checkpoint = (scratch_path(spark, p) for p in ("stream_source", "watermark_dedup", "stream_ckpt"))
+    log = RV.change_log(spark, sf_dir, redeliver=True).withColumn("_later", F.col("offset") % 7 == 0)
+    for later in (False, True):
+        log.where(F.col("_later") == later).drop("_later").write.mode("append").parquet(src)
+        kept = STREAM.dedup_within_watermark(STREAM.read_change_stream(spark, src), DEDUP_DELAY)
+        kept = kept.select("topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"))
+        kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema("topic string, kafka_partition int, kafka_offset long").parquet(out)
+
+
+@query("replay_offset_ranges")
+def q_replay_offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The middle third of every topic partition's offsets read again as a batch and landed."""
+    src, bronze = _stream_source(spark, sf_dir, redeliver=True), scratch_path(spark, "bronze_replay")
+    ranges: dict[str, dict[int, tuple[int, int]]] = {}
+    # one row per Kafka partition
+    for r in spark.read.schema(KAFKA_ROW).parquet(src).groupBy("topic", "partition").agg(F.max("offset").alias("last")).collect():
+        ranges.setdefault(r["topic"], {})[r["partition"]] = (r["last"] // 3, 2 * r["last"] // 3)
+    JOBS.land_bronze_batch(STREAM.read_change_batch(spark, src, ranges), bronze, RV.AS_OF, mode="overwrite")
+    return L.read_lake_table(spark, bronze, schema=BRONZE).select("topic", "kafka_partition", "kafka_offset", "ingest_id")
+
+
 @query("stream_current_state")
 def q_stream_current_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5: current transactions kept by the stream, messages redelivered and stamped backwards, a few files per batch."""
@@ -292,6 +322,19 @@ def q_silver_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(bronze.select(F.count(F.lit(1))).scalar().alias("bronze_rows"), "*")
 
 
+@query("run_metadata")
+def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver job's summary row (scalars, a map, a struct, a date, a null) flattened."""
+    counts = stored(silver_table(spark, sf_dir).groupBy("source_table").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_date").alias("first"), F.max("event_date").alias("last")))
+    # one row per source table
+    by_table = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source_table", "rows"))))
+    return META.flatten_summary(counts.agg(
+        F.lit(JOBS.SILVER_MODE).alias("mode"), F.sum("rows").alias("silver_rows"), F.lit(True).alias("gate_passed"),
+        F.lit(None).cast("string").alias("output_dir"), by_table.alias("source_table_counts"),
+        F.struct(F.min("first").alias("min"), F.max("last").alias("max")).alias("date_range"), F.max("last").alias("last_event_date")))
+
+
 # -------------------------------------------------------------------- gold
 
 
@@ -559,6 +602,12 @@ def q_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.forecast_metrics(_forecasts(spark, sf_dir))
 
 
+@query("forecast_report")
+def q_forecast_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the metrics as reported, rounded to 4 places by exact value."""
+    return FC.rounded_report(FC.forecast_metrics(_forecasts(spark, sf_dir)))
+
+
 @query("pinball_loss")
 def q_pinball_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M7: pinball loss of the baseline at several quantiles."""

@@ -262,6 +262,17 @@ ORACLE["inspect_table"] = with_base("SELECT source_table, COUNT(*) AS rows FROM
 ORACLE["land_out_of_order"] = with_base("SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg")
 ORACLE["stream_dedup"] = with_base("SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg")
 
+ORACLE["stream_watermark_dedup"] = with_base("""
+, sent AS (
+  SELECT *, epoch_ms(event_ts_ms) + CASE WHEN coalesce(is_redelivered, FALSE) THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS newest FROM msg
+)
+SELECT topic, kafka_partition, kafka_offset FROM sent
+WHERE kafka_offset % 7 <> 0 OR newest > (SELECT max(newest) FROM sent WHERE kafka_offset % 7 <> 0) - INTERVAL 1000 DAY""")
+ORACLE["replay_offset_ranges"] = with_base("""
+, ends AS (SELECT topic, kafka_partition, max(kafka_offset) AS last FROM msg GROUP BY ALL)
+SELECT topic, kafka_partition, kafka_offset, ingest_id FROM msg JOIN ends USING (topic, kafka_partition)
+WHERE kafka_offset >= last // 3 AND kafka_offset < 2 * last // 3""")
+
 # ------------------------------------------------------------------ silver
 
 ORACLE["silver_events"] = with_base("""
@@ -305,6 +316,19 @@ SELECT (SELECT COUNT(*) FROM msg) + (SELECT COUNT(*) FROM msg WHERE is_redeliver
     AS max_event_date
 FROM msg""")
 
+ORACLE["run_metadata"] = with_base("""
+, counts AS (
+  SELECT source_table, COUNT(*) AS rows, CAST(min(epoch_ms(event_ts_ms)) AS DATE) AS first, CAST(max(epoch_ms(event_ts_ms)) AS DATE) AS last
+  FROM msg GROUP BY source_table
+)
+SELECT 'mode' AS key, 'string' AS kind, 'overwrite' AS value
+UNION ALL SELECT 'silver_rows', 'bigint', CAST(CAST(sum(rows) AS BIGINT) AS VARCHAR) FROM counts
+UNION ALL SELECT 'gate_passed', 'boolean', 'true'
+UNION ALL SELECT 'output_dir', 'none', 'None'
+UNION ALL SELECT 'source_table_counts', 'json', '{' || string_agg('"' || source_table || '":' || rows, ',' ORDER BY source_table) || '}' FROM counts
+UNION ALL SELECT 'date_range', 'json', '{"min":"' || min(first) || '","max":"' || max(last) || '"}' FROM counts
+UNION ALL SELECT 'last_event_date', 'text', CAST(max(last) AS VARCHAR) FROM counts""")
+
 # -------------------------------------------------------------------- gold
 
 _TYPED = f"""transaction_id, store_id, sku_id, business_date, sale_ts, units,
@@ -512,6 +536,11 @@ SELECT 'test', COUNT(*), COUNT(DISTINCT (store_id, sku_id)), min(business_date),
 ORACLE["trailing_mean"] = with_base("SELECT * FROM tmean")
 ORACLE["seasonal_naive"] = with_base("SELECT * FROM fc")
 ORACLE["forecast_metrics"] = with_base("SELECT * FROM metrics")
+ORACLE["forecast_report"] = with_base("""
+SELECT rows, series_count, round(actual_units, 4) AS actual_units, round(forecast_units, 4) AS forecast_units, round(mae, 4) AS mae,
+  round(rmse, 4) AS rmse, round(mape_positive_actual_pct, 4) AS mape_positive_actual_pct, round(wmape_pct, 4) AS wmape_pct,
+  round(bias_units, 4) AS bias_units, round(pinball_loss_p50, 4) AS pinball_loss_p50
+FROM metrics""")
 
 
 def _pinball(q: float) -> str:

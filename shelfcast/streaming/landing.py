@@ -1,7 +1,8 @@
 """Structured Streaming landing of the change stream into bronze.
 
 A bounded drain is ``trigger(availableNow=True)``: every message available at
-start is processed in micro-batches, then the query stops.  Offsets (or
+start is processed in micro-batches, then the query stops.  With an idle timeout
+the query polls instead and stops once nothing has arrived for that long.  Offsets (or
 processed files) are committed to the checkpoint only after a batch is written,
 so a restart resumes without loss.  The sink is idempotent on Kafka coordinates:
 a batch is compared with the stored rows of its own offset ranges, so replays
@@ -10,6 +11,10 @@ and redeliveries add nothing and no full id column is read.
 
 from __future__ import annotations
 
+import json
+import time
+from functools import reduce
+
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +32,11 @@ RUN_MARKER = "overwrite_run"
 
 def land_with_settings(spark: SparkSession, settings: LandingSettings, topics: list[str] | None = None,
                        options: dict[str, str] | None = None) -> dict:
-    """S2 with the model's knobs: batch size, message cap, write mode."""
+    """S2 with the model's knobs: batch size, message cap, idle timeout, write mode."""
     return land_bronze_stream(spark, settings.source, settings.bronze_path, settings.checkpoint, settings.mode,
                               max_per_trigger=settings.batch_size if settings.source == "kafka" else None,
-                              topics=topics, options=options, max_messages=settings.max_messages)
+                              topics=topics, options=options, max_messages=settings.max_messages,
+                              idle_timeout_seconds=settings.idle_timeout_seconds)
 
 
 def read_change_stream(spark: SparkSession, source: str, topics: list[str] | None = None,
@@ -52,6 +58,23 @@ def read_change_stream(spark: SparkSession, source: str, topics: list[str] | Non
     return df.filter(F.col("topic").isin(topics)) if topics else df
 
 
+def read_change_batch(spark: SparkSession, source: str, ranges: dict[str, dict[int, tuple[int, int]]],
+                      options: dict[str, str] | None = None) -> DataFrame:
+    """The messages of given offset ranges, {topic: {partition: (first, past the last)}}, as a batch.
+
+    ``kafka`` reads just those offsets; in a folder of Kafka-shaped files the ranges are
+    pushed into the scan.  Land the result with ``land_bronze_batch``.
+    """
+    if source == "kafka":
+        start, end = ({t: {str(p): r[i] for p, r in parts.items()} for t, parts in ranges.items()} for i in (0, 1))
+        reader = spark.read.format("kafka").option("subscribe", ",".join(ranges))
+        return (reader.option("startingOffsets", json.dumps(start)).option("endingOffsets", json.dumps(end))
+                .options(**(options or {})).load())
+    wanted = [(F.col("topic") == t) & (F.col("partition") == p) & (F.col("offset") >= first) & (F.col("offset") < past)
+              for t, parts in ranges.items() for p, (first, past) in parts.items()]
+    return spark.read.schema(KAFKA_ROW).options(**(options or {})).parquet(source).where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
+
+
 def dedup_within_watermark(stream: DataFrame, delay: str) -> DataFrame:
     """T3 as a streaming operator: drop redelivered messages (same coordinates) seen
     within ``delay`` of broker time.  Lossy: Spark discards every row older than the
@@ -111,18 +134,22 @@ def bronze_sink(path: str, mode: str = "append", checkpoint: str | None = None):
 def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, checkpoint: str,
                        mode: str = "append", max_per_trigger: int | None = None,
                        topics: list[str] | None = None, options: dict[str, str] | None = None,
-                       watermark_delay: str | None = None, max_messages: int | None = None) -> dict:
+                       watermark_delay: str | None = None, max_messages: int | None = None,
+                       idle_timeout_seconds: float | None = None, poll_seconds: float = 1.0) -> dict:
     """Drain the stream into bronze and stop (availableNow).
 
     With ``max_messages`` the drain also stops once that many rows are committed
-    (``stopped_at_cap`` in the summary); the next run resumes there.  A batch that
+    (``stopped_at_cap`` in the summary); the next run resumes there.  With
+    ``idle_timeout_seconds`` the source is polled every ``poll_seconds`` and the drain
+    ends, between two batches, once that long has passed without a message
+    (``stopped_idle``).  A batch that
     cannot be landed - undecodable bytes, a failing write - raises
     ``BronzeLandingError`` with its offsets uncommitted.
     """
     stream = read_change_stream(spark, source, topics, max_per_trigger, options)
     if watermark_delay:
         stream = dedup_within_watermark(stream, watermark_delay)
-    landed = {"rows": 0, "full": False, "refused": False}
+    landed = {"rows": 0, "full": False, "refused": False, "idle": False, "seen": time.monotonic()}
     sink = bronze_sink(bronze_path, mode, checkpoint)
 
     def bounded(batch: DataFrame, batch_id: int) -> None:
@@ -132,18 +159,22 @@ def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, check
             landed["refused"] = True
             raise BronzeLandingError("cap reached before this batch")
         landed["rows"] += sink(batch, batch_id)
+        landed["seen"] = time.monotonic()
         landed["full"] = max_messages is not None and landed["rows"] >= max_messages
 
     started_at = spark.sql("SELECT current_timestamp()").first()[0]
     query = (
         stream.writeStream.foreachBatch(bounded)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**({"availableNow": True} if idle_timeout_seconds is None else {"processingTime": f"{round(poll_seconds * 1000)} milliseconds"}))
         .start()
     )
     try:
-        while query.isActive and not landed["full"]:
+        while query.isActive and not landed["full"] and not landed["idle"]:
             query.awaitTermination(0.2)
+            quiet = idle_timeout_seconds is not None and time.monotonic() - landed["seen"] >= idle_timeout_seconds
+            # never in the middle of a batch
+            landed["idle"] = quiet and not query.status["isTriggerActive"]
         if query.isActive:
             query.stop()
         query.awaitTermination()
@@ -159,6 +190,7 @@ def land_bronze_stream(spark: SparkSession, source: str, bronze_path: str, check
         "input_rows": sum(p.get("numInputRows", 0) for p in progress),
         "landed_rows": landed["rows"],
         "stopped_at_cap": landed["full"],
+        "stopped_idle": landed["idle"],
         "started_at": started_at,
         "finished_at": spark.sql("SELECT current_timestamp()").first()[0],
         "mode": mode,
