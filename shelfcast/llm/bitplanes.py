@@ -89,7 +89,7 @@ def write_ids(docs: DataFrame, target: str, id_col: str = "doc_id", text_col: st
 
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for i, ids in doc_ids(batch.column(1).to_pylist(), path, capacity=600_000):
+            for i, ids in doc_ids(batch.column(1).to_pylist(), path, capacity=350_000):
                 at, part = 0, 0
                 while at < len(ids):
                     n = min(block_ids - size, len(ids) - at)

@@ -166,7 +166,7 @@ def encoder(path: str, capacity: int) -> PieceEncoder:
     return PieceEncoder(path, capacity)
 
 
-def doc_ids(texts: list[str | None], path: str, run_chars: int = 1 << 20, capacity: int = 450_000):
+def doc_ids(texts: list[str | None], path: str, run_chars: int = 1 << 20, capacity: int = 350_000):
     """Yield (index, uint32 ids with the end id) per text, encoding about ``run_chars`` characters at a time.
 
     ``capacity`` bounds the pieces a worker keeps (some 250 bytes each)."""
