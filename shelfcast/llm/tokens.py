@@ -21,7 +21,11 @@ import numpy as np
 _BARE = "\x01"
 _BREAK = " \x01\n \x01"
 _ODD = re.compile(r"[ \n](?:\s|\Z)|\A\s|\x01")
-_WORD_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?]*)")
+# letters, then a run of ASCII marks without the apostrophe, which may start a contraction
+_WORD_MARKS = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+# different runs of marks kept by a worker
+MARK_RUNS = 4096
+_KNOWN, _WORD, _REST = range(3)
 END_ID = 0
 
 
@@ -31,6 +35,17 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter(chain.from_iterable(lists), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+
+def _slices(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The given slices of ``flat``, one after another."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+
+
 class OddSpace(Exception):
     """A text has a run of white space that pieces cannot express."""
 
@@ -59,7 +74,7 @@ class PieceEncoder:
     def __init__(self, path: str, capacity: int = 350_000, lead_space: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Split
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = lead_space
@@ -74,9 +89,13 @@ class PieceEncoder:
         self.letters |= {b: level.pre_tokenize_str(chr(c))[0][0][i] for c in range(0x80, 0x800) for i, b in enumerate(chr(c).encode())}
         self.letters |= {b: self._stand_in(level, b) for b in range(0xE0, 0xF5)}
         self.capacity = capacity
-        self.pieces, self.marks = Pieces(), {"": []}
-        self.flat = np.zeros(0, dtype=np.uint32)
-        self.starts, self.sizes, self.hits = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        # the same model with nothing before it but a cut at line breaks
+        self.words = Tokenizer(self.tok.model)
+        self.words.pre_tokenizer = Split(self.letters[10], "isolated")
+        self.line_break = self.tok.token_to_id(self.letters[10])
+        self.pieces, self.marks = Pieces(), {"": 0}
+        self.flat, self.mark_flat = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.uint32)
+        self.starts, self.sizes, self.hits, self.mark_sizes = (np.zeros(0, dtype=np.int64) for _ in range(4))
 
     @staticmethod
     def _stand_in(level, lead: int) -> str:
@@ -88,32 +107,66 @@ class PieceEncoder:
     def raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _piece_ids(self, fresh: list[str]) -> list[list[int]]:
-        """A word (and marks after it) goes straight to the model, all else through the whole tokenizer."""
-        out, rest, word = [], [], self.tok.model.tokenize
-        for i, p in enumerate(fresh):
+    def _model_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one word after another, ids per word): one call of the model, words held apart by line breaks."""
+        if not words:
+            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        text = ("\n".join(words) + "\n").encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        breaks = np.flatnonzero(ids == self.line_break)
+        return np.delete(ids, breaks), np.diff(breaks, prepend=-1) - 1
+
+    def _piece_ids(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids one piece after another, ids per piece).
+
+        A word (and marks after it) goes straight to the model, once with and without marks; all else goes
+        through the whole tokenizer."""
+        known, words, rest, match = len(self.sizes), {}, [], _WORD_MARKS.fullmatch
+        if len(self.marks) > MARK_RUNS:
+            self.marks = {"": 0}
+        marks, n_marks = self.marks, len(self.marks)
+        kind, place, tail = [], [], []
+        for p in fresh:
             bare = p[:1] == _BARE
-            m = _WORD_MARKS.fullmatch(p[1:] if bare else p)
+            m = match(p, 1) if bare else match(p)
             if m and m[1].isalpha():
-                if m[2] not in self.marks:
-                    self.marks[m[2]] = self.raw([m[2]])[0]
-                text = m[1] if bare else " " + m[1]
-                out.append([t.id for t in word(text.encode().decode("latin-1").translate(self.letters))] + self.marks[m[2]])
+                row = self.pieces.get(p[:m.end(1)], known) if m[2] else known
+                if row < known:
+                    kind.append(_KNOWN)
+                    place.append(row)
+                else:
+                    kind.append(_WORD)
+                    place.append(words.setdefault(m[1] if bare else " " + m[1], len(words)))
+                tail.append(marks.setdefault(m[2], len(marks)))
             else:
-                out.append(None)
-                rest.append(i)
-        for i, ids in zip(rest, self.raw([fresh[i][1:] if fresh[i][:1] == _BARE else " " + fresh[i] for i in rest]), strict=True):
-            out[i] = ids
-        return out
+                kind.append(_REST)
+                place.append(len(rest))
+                tail.append(0)
+                rest.append(p[1:] if bare else " " + p)
+        if len(marks) > n_marks or not self.mark_sizes.size:
+            flat, sizes = _joined(self.raw([*marks]))
+            self.mark_flat, self.mark_sizes = flat, sizes
+        word_flat, word_sizes = self._model_ids([*words])
+        rest_flat, rest_sizes = _joined(self.raw(rest))
+        # each piece is two slices of one buffer: its word, then its marks
+        parts = [self.flat, word_flat, rest_flat, self.mark_flat]
+        base = np.cumsum([0, *map(len, parts)])
+        starts = [self.starts + base[0]] + [np.cumsum(n) - n + at for n, at in
+                                            zip((word_sizes, rest_sizes, self.mark_sizes), base[1:], strict=False)]
+        sizes = [self.sizes, word_sizes, rest_sizes, self.mark_sizes]
+        first = np.cumsum([0, *map(len, sizes)])
+        at = np.empty((len(fresh), 2), dtype=np.int64)
+        at[:, 0] = first[np.array(kind)] + np.array(place)
+        at[:, 1] = first[3] + np.array(tail)
+        n = np.concatenate(sizes)[at]
+        return _slices(np.concatenate(parts), np.concatenate(starts)[at].ravel(), n.ravel()), n.sum(axis=1)
 
     def _learn(self) -> None:
         fresh, self.pieces.fresh = self.pieces.fresh, []
-        ids = self._piece_ids(fresh)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
+        flat, sizes = self._piece_ids(fresh)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.hits = np.concatenate([self.hits, np.zeros(len(ids), dtype=np.int64)])
+        self.hits = np.concatenate([self.hits, np.zeros(len(sizes), dtype=np.int64)])
         self.flat = np.concatenate([self.flat, flat])
 
     def _trim(self) -> None:
@@ -123,9 +176,8 @@ class PieceEncoder:
             keep = self.hits > np.partition(self.hits, -self.capacity // 3)[-self.capacity // 3]
         rows = np.flatnonzero(keep)
         sizes = self.sizes[rows]
-        ends = np.cumsum(sizes)
-        self.flat = self.flat[np.repeat(self.starts[rows] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
-        self.starts, self.sizes, self.hits = ends - sizes, sizes, self.hits[rows] // 2 + 1
+        self.flat = _slices(self.flat, self.starts[rows], sizes)
+        self.starts, self.sizes, self.hits = np.cumsum(sizes) - sizes, sizes, self.hits[rows] // 2 + 1
         names, self.pieces = list(self.pieces), Pieces()
         self.pieces.update(zip([names[i] for i in rows.tolist()], range(len(rows)), strict=True))
 
@@ -148,7 +200,7 @@ class PieceEncoder:
         self.hits += np.bincount(at, minlength=len(self.hits))
         n = self.sizes[at]
         ends = np.cumsum(n)
-        ids = self.flat[np.repeat(self.starts[at] - (ends - n), n) + np.arange(int(n.sum()))]
+        ids = _slices(self.flat, self.starts[at], n)
         out: list[np.ndarray | None] = [None] * len(texts)
         done = 0
         for i, last in zip(plain, np.cumsum(counts).tolist(), strict=True):
