@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline_stages(spark, sf_dir):
