@@ -52,7 +52,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-# fitting, suffix ranks and tokenisation have no SQL form; tests compare run() with the stages called one by one
+# fitting, suffix ranks and tokenisation have no SQL form; a test compares run() with stages 2 to 5 in plain Python
 ORACLE_SQL = None
 
 
