@@ -62,6 +62,48 @@ def test_decontamination_matches_brute_force(spark, edge_docs, no_docs):
     assert decontaminate.drop_contaminated(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_pattern_tables_of_a_large_benchmark_stay_small():
+    """A whole block of random words (few repeats): tables in bytes, and every planted window found."""
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", dtype=np.uint8)
+    body = letters[rng.integers(0, 26, decontaminate.BLOCK_BYTES)]
+    body[rng.integers(0, len(body), len(body) // 7)] = 0x20
+    body = body.tobytes().decode()
+    items = [(str(i), body[i * 2000:(i + 1) * 2000]) for i in range(len(body) // 2000)]
+    tracemalloc.start()
+    tables = decontaminate.build_tables(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(t.memory() for t in tables) < 150 << 20 and peak < 500 << 20
+    picks = rng.choice(len(items), 50, replace=False).tolist()
+    for i in picks:
+        words = items[i][1].split()
+        at = int(rng.integers(0, len(words) - 10))
+        doc = ["0", "zero", *words[at:at + 10], "1"]
+        text = decontaminate.Words(decontaminate.normal(" ".join(doc)))
+        found = [hit for t in tables for hit in t.scan(text)]
+        assert found == [(2, 12, {items[i][0]})]
+        doc[7] = "0"
+        assert not [hit for t in tables for hit in t.scan(decontaminate.Words(decontaminate.normal(" ".join(doc))))]
+
+
+def test_pattern_search_equals_direct_search():
+    rng = np.random.default_rng(3)
+    for words in (2, 4, 30):
+        make = lambda n: " ".join(f"w{i}" for i in rng.integers(0, words, n))  # noqa: E731, B023
+        items = [(str(i), make(int(n))) for i, n in enumerate(rng.integers(1, 14, 25))]
+        tables = decontaminate.build_tables(items, window=5)
+        for n in [0, 1, 2, 5, 300]:
+            text = make(n)
+            spans, found = [], set()
+            for t in tables:
+                for a, b, names in t.scan(decontaminate.Words(decontaminate.normal(text))):
+                    spans.append((a, b))
+                    found |= names
+            hit = sum(b - a for a, b in decontaminate.merge_spans(spans))
+            assert (n, hit, sorted(found)) == brute_hits(text, items, window=5)
+
+
 # ---------------------------------------------------------------- tokens, packing, bit planes
 
 def test_piece_encoder_equals_tokenizer(tok):
