@@ -685,7 +685,8 @@ def q_policy_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("record_history")
 def q_record_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validity intervals of every record of the four tables."""
-    return comparable(H.record_history(silver_table(spark, sf_dir)))
+    silver = silver_table(spark, sf_dir).select(*H.KEY, "is_deleted", "record_data", *G.EVENT_ORDER_COLUMNS)
+    return comparable(H.record_history(stored(silver)))  # read twice: the events, and the first of each day
 
 
 @query("gold_as_of_day")
