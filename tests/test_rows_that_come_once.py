@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from shelfcast.functions import json_fns as J
 from shelfcast.operators import bronze as B
 from shelfcast.operators import gold as G
 from shelfcast.operators import repeated as R
@@ -133,3 +134,37 @@ def test_stored_rows_come_back_by_column(spark):
     kept = CAT.stored(df)
     assert sorted(map(tuple, kept.collect())) == [(1, "a", None), (2, None, True)] and kept.schema == df.schema
     assert "ReadSchema: struct<n:int>" in plan_of(kept.select("n"))
+
+
+# ------------------------------------------- bronze and silver in one job
+
+
+def test_envelopes_are_parsed_once_on_the_way_to_silver(spark):
+    log = kafka(spark, [sale(i, i) for i in range(5)])
+    plain, carried = (S.silver_rows(B.bronze_rows(log, AS_OF, with_envelope=w), AS_OF) for w in (False, True))
+    assert "_v" not in carried.columns and sorted(map(tuple, carried.collect())) == sorted(map(tuple, plain.collect()))
+    parses = [plan_of(df.select("operation", "source_table")).count("parseJson(") for df in (plain, carried)]
+    assert parses == [2, 1]
+
+
+def test_keys_of_one_plain_member_are_their_own_canonical_text(spark):
+    keys = ['{"a":"x y"}', '{"a":7}', '{"a":-7}', '{"a":0}', '{"a":-0}', '{"a":007}', '{"a":true}', '{"a":null}', '{"a":""}', '{"a":1.50}',
+            '{"a":1e3}', '{"a":"x","a":"y"}', '{"b":1,"a":2}', '{"a" :1}', '{"a":"\\u0041"}', '{"a":"\\n"}', '{"a":"ü"}', '{"a":"\x7f"}', '{"a":1}x',
+            '{"a":1}\n', '{"a":1234567890123456789012}', '{"a":{"c":1,"b":2}}', "{}", "{'a':1}", "null", "", "x", None]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    for r in df.select("k", J.canonical_text("k", J.parse("k")).alias("got"), J.canonical_json("k").alias("want")).collect():
+        assert r["got"] == r["want"], r
+
+
+def test_silver_rows_stay_spread_over_the_session_partitions(spark, tmp_path):
+    bronze = CAT.bronze_for_silver(spark, lineitems(spark, tmp_path))
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    assert "hashpartitioning(l_orderkey" in plan_of(bronze) and f", {n}), REPARTITION_BY_NUM" in plan_of(bronze)
+
+
+def test_store_and_promotion_ids_by_concatenation_equal_formatted_ones(spark):
+    df = spark.createDataFrame([(n, 1, 2) for n in (None, -7, -100, 0, 5, 24, 99, 100, 12345)] + [(3, None, None)], "l_orderkey long, l_linenumber int, l_partkey long")
+    n = F.col("l_orderkey")
+    rows = df.select(RV._store_id(n).alias("s"), F.format_string("store-%02d", n).alias("s0"), RV._promotion_id().alias("p"),
+                     F.format_string("promo-%d-%d-%d", "l_orderkey", "l_linenumber", "l_partkey").alias("p0")).collect()
+    assert all(r["s"] == r["s0"] and r["p"] == r["p0"] for r in rows)
