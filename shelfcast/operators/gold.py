@@ -33,7 +33,7 @@ def event_order_key() -> list[Column]:
     ]
 
 
-def latest_per_key(events: DataFrame, key: str, carry: list[str]) -> DataFrame:
+def latest_per_key(events: DataFrame, key: str | list[str], carry: list[str]) -> DataFrame:
     """The last event of each key in (event_at, lsn, topic, partition, offset) order.
 
     ``max(struct(order..., payload...))`` is an aggregate, so Spark combines it
@@ -41,8 +41,9 @@ def latest_per_key(events: DataFrame, key: str, carry: list[str]) -> DataFrame:
     reducer as one row per map task.  Null keys form one group.
     """
     packed = F.struct(*event_order_key(), *[F.col(c) for c in carry])
-    return events.groupBy(key).agg(F.max(packed).alias("_w")).select(
-        F.col(key), *[F.col(f"_w.{c}").alias(c) for c in carry]
+    keys = [key] if isinstance(key, str) else key
+    return events.groupBy(*keys).agg(F.max(packed).alias("_w")).select(
+        *keys, *[F.col(f"_w.{c}").alias(c) for c in carry]
     )
 
 

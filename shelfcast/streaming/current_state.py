@@ -2,9 +2,11 @@
 
 The state is a table of the latest event per transaction, deletes included (a
 tombstone must still beat an older event that arrives late).  It is cut into
-buckets by the key's hash.  A micro-batch is reduced to one row per key, merged
-with the stored rows of the buckets it touches, and only those buckets are written,
-under ``batch=<id>``.  The batch is committed by the folder's ``_SUCCESS`` marker, so
+buckets by the key's hash.  A micro-batch is reduced to one row per key and merged
+with the stored rows of the buckets it touches; only those buckets are written,
+under ``batch=<id>``.  A large bucket is not rewritten by every batch: the batch's rows
+are put beside it (``bucket=<n>+``) until they are as large as the bucket, so all that is
+written stays in proportion to what arrives; readers take the latest of both.  The batch is committed by the folder's ``_SUCCESS`` marker, so
 readers never see half a batch; a batch that is run again overwrites its own folder.
 "Latest" is a maximum over the event order, so redelivery, replay and any order of
 arrival give the same state.
@@ -12,6 +14,8 @@ arrival give the same state.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,9 @@ CARRIED = [*G.EVENT_ORDER_COLUMNS, "is_deleted", "record_data"]
 STATE_SCHEMA = (f"{KEY} string, event_at timestamp, source_lsn long, kafka_topic string, kafka_partition int, kafka_offset long, "
                 "is_deleted boolean, record_data string")
 BUCKETS = 64
+# Buckets below this size are rewritten by every batch that touches them.
+SMALL_BUCKET_BYTES = 1 << 20
+ADDED = "+"
 
 
 def bucket_of(key, buckets: int):
@@ -36,15 +43,35 @@ def bucket_of(key, buckets: int):
 def committed_parts(spark: SparkSession, root: str, before: int | None = None) -> dict[str, str]:
     """partition value -> folder of its newest committed version (of batches below ``before``)."""
     found: dict[str, tuple[int, str]] = {}
+    for batch, value, path in _written_parts(spark, root, before):
+        if not value.endswith(ADDED) and found.get(value, (-1, ""))[0] < batch:
+            found[value] = (batch, path)
+    return {value: path for value, (_, path) in found.items()}
+
+
+def _written_parts(spark: SparkSession, root: str, before: int | None = None) -> list[tuple[int, str, str]]:
+    """(batch, partition value, folder) of every committed batch (below ``before``)."""
+    out = []
     for name in L.list_folders(spark, root):
         batch = int(name.partition("=")[2])
         if (before is not None and batch >= before) or not L.table_exists(spark, f"{root}/{name}/_SUCCESS"):
             continue
-        for part in L.list_folders(spark, f"{root}/{name}"):
-            value = part.partition("=")[2]
-            if found.get(value, (-1, ""))[0] < batch:
-                found[value] = (batch, f"{root}/{name}/{part}")
-    return {value: path for value, (_, path) in found.items()}
+        out += [(batch, unquote(part.partition("=")[2]), f"{root}/{name}/{part}") for part in L.list_folders(spark, f"{root}/{name}")]
+    return out
+
+
+def live_parts(spark: SparkSession, root: str, before: int | None = None) -> dict[str, list[str]]:
+    """bucket -> its folders: the newest whole version, then the rows added to it since."""
+    written, whole = _written_parts(spark, root, before), {}
+    for batch, value, path in written:
+        if not value.endswith(ADDED):
+            whole[value] = max(whole.get(value, (-1, "")), (batch, path))
+    found = {value: [path] for value, (_, path) in whole.items()}
+    for batch, value, path in sorted(written):
+        bucket = value.removesuffix(ADDED)
+        if value.endswith(ADDED) and batch > whole.get(bucket, (-1, ""))[0]:
+            found.setdefault(bucket, []).append(path)
+    return found
 
 
 def next_batch(spark: SparkSession, root: str) -> int:
@@ -73,8 +100,15 @@ def merge_batch(messages: DataFrame, batch_id: int, root: str, buckets: int = BU
 
 
 def stored_events(spark: SparkSession, root: str, touched: list[int], before: int | None = None) -> DataFrame:
-    stored = committed_parts(spark, root, before)
-    return read_parts(spark, [stored[str(b)] for b in touched if str(b) in stored], STATE_SCHEMA)
+    stored = live_parts(spark, root, before)
+    return _latest(spark, [stored[str(b)] for b in touched if str(b) in stored])
+
+
+def _latest(spark: SparkSession, parts: list[list[str]]) -> DataFrame:
+    """One row per key of these buckets; those without added rows are read as they are."""
+    alone = read_parts(spark, [p for paths in parts if len(paths) == 1 for p in paths], STATE_SCHEMA)
+    several = [p for paths in parts if len(paths) > 1 for p in paths]
+    return alone.unionByName(G.latest_per_key(read_parts(spark, several, STATE_SCHEMA), KEY, CARRIED)) if several else alone
 
 
 def touched_buckets(new: DataFrame, buckets: int = BUCKETS) -> list[int]:
@@ -83,17 +117,31 @@ def touched_buckets(new: DataFrame, buckets: int = BUCKETS) -> list[int]:
 
 def merge_events(new: DataFrame, batch_id: int, root: str, buckets: int = BUCKETS) -> list[int]:
     """Merge the latest events of a batch, one per key, into the buckets of their keys."""
+    spark, bucket = new.sparkSession, bucket_of(F.col(KEY), buckets)
     touched = touched_buckets(new, buckets)
     if touched:
-        old = stored_events(new.sparkSession, root, touched, before=batch_id)
-        merged = G.latest_per_key(old.unionByName(new.select(*old.columns)), KEY, CARRIED).withColumn("bucket", bucket_of(F.col(KEY), buckets))
-        merged.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
+        stored = live_parts(spark, root, before=batch_id)
+        parts = {b: stored.get(str(b), []) for b in touched}
+        added = [b for b, paths in parts.items() if paths and not _outgrown(spark, paths)]
+        old = read_parts(spark, [p for b, paths in parts.items() if b not in added for p in paths], STATE_SCHEMA)
+        new = new.select(*old.columns).withColumn("bucket", bucket)
+        whole = old.withColumn("bucket", bucket).unionByName(new.where(~F.col("bucket").isin(added)))
+        # dealt out by bucket once, for the merge and for the write
+        merged = G.latest_per_key(whole.repartition("bucket"), ["bucket", KEY], CARRIED).withColumn("bucket", F.col("bucket").cast("string"))
+        beside = new.where(F.col("bucket").isin(added)).withColumn("bucket", F.concat(F.col("bucket").cast("string"), F.lit(ADDED)))
+        merged.unionByName(beside).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
     return touched
 
 
+def _outgrown(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether a bucket is small, or the rows added to it have become as large as itself."""
+    own, *added = (L.folder_bytes(spark, p) for p in paths)
+    return own < SMALL_BUCKET_BYTES or sum(added) >= own
+
+
 def drop_superseded(spark: SparkSession, root: str, keep_from: int) -> None:
     """Delete partition versions that a newer committed batch below ``keep_from`` replaces."""
-    current = set(committed_parts(spark, root, before=keep_from).values())
+    current = {p for paths in live_parts(spark, root, before=keep_from).values() for p in paths}
     for name in L.list_folders(spark, root):
         if int(name.partition("=")[2]) < keep_from:
             for part in L.list_folders(spark, f"{root}/{name}"):
@@ -119,7 +167,7 @@ def maintain_current_state(spark: SparkSession, source: str, root: str, checkpoi
 
 def current_state(spark: SparkSession, root: str) -> DataFrame:
     """The latest event of every transaction, tombstones included."""
-    return read_parts(spark, list(committed_parts(spark, root.rstrip("/")).values()), STATE_SCHEMA)
+    return _latest(spark, list(live_parts(spark, root.rstrip("/")).values()))
 
 
 def current_transactions(spark: SparkSession, root: str) -> DataFrame:

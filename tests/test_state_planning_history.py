@@ -5,6 +5,7 @@ import math
 import random
 from datetime import UTC, date, datetime, timedelta
 from decimal import Decimal
+from urllib.parse import unquote
 
 import pytest
 
@@ -77,6 +78,34 @@ def test_empty_state_and_empty_batch(spark, tmp_path):
     assert STATE.merge_batch(spark.createDataFrame([], KAFKA_ROW), 0, root) == []
 
 
+def test_large_buckets_take_rows_beside_them_until_these_outgrow_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(STATE, "SMALL_BUCKET_BYTES", 0)
+    root = str(tmp_path / "state")
+    batches = [[message(i, f"t{i}", "c", 1, 1000) for i in range(400)], [message(900, "t7", "u", 2, 2000), message(901, "t8", "d", 1, 2000)],
+               [message(902, "t7", "u", 3, 1500), message(903, "new", "c", 4, 1000)]]
+    batches.append([message(1000 + i, f"t{i}", "u", 5, 3000) for i in range(0, 400, 2)])
+    written = []
+    for n, rows in enumerate(batches):
+        frame = spark.createDataFrame(rows, KAFKA_ROW)
+        for _ in range(2):  # run again: the batch's own folder is replaced
+            STATE.merge_batch(frame, n, root, buckets=2)
+        STATE.drop_superseded(spark, root, n)
+        written.append(L.list_folders(spark, f"{root}/batch={n}"))
+        if n == 1:  # added, the older rows stay where they are; a batch cut off is not read
+            assert len(L.list_folders(spark, f"{root}/batch=0")) == 2
+            assert units(spark, root)["t7"] == 2 and "t8" not in units(spark, root)
+    assert written[0] == ["bucket=0", "bucket=1"] and all(unquote(f).endswith("+") for f in written[1] + written[2])
+    want = {f"t{i}": 5 if i % 2 == 0 else 1 for i in range(400)} | {"t7": 2, "new": 4}
+    assert units(spark, root) == want
+    assert STATE.current_state(spark, root).count() == 401
+    for n in range(4, 8):  # the same rows again and again: both buckets are written whole once more
+        STATE.merge_batch(spark.createDataFrame(batches[3], KAFKA_ROW), n, root, buckets=2)
+        STATE.drop_superseded(spark, root, n + 1)
+        written.append(L.list_folders(spark, f"{root}/batch={n}"))
+    assert {"bucket=0", "bucket=1"} <= {f for folders in written[3:] for f in folders}
+    assert L.list_folders(spark, f"{root}/batch=0") == [] and units(spark, root) == want
+
+
 # ---------------------------------------------------------------- E5
 
 
