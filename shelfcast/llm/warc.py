@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.session import scratch_path
+
 END = "\r\n\r\n"
 ARCHIVE_BYTES = 32 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -182,8 +184,12 @@ def dedup_archives(spark: SparkSession, source: str, target: str, min_bytes: int
     """Read the archives under ``source`` and write deduplicated ones, with fresh headers, under ``target``.
 
     The digest shuffle carries headers only; payloads move once, to meet their resolved header.
+    Headers are kept beside the archives, so these are unpacked twice, not once for each use of a header.
     """
-    heads = read_archives(spark, source, payloads=False).withColumn("payload", F.lit(None).cast("string"))
+    kept = scratch_path(spark, "llm", "warc-heads")
+    headers = read_archives(spark, source, payloads=False)
+    headers.write.option("compression", "zstd").parquet(kept)
+    heads = spark.read.schema(headers.schema).parquet(kept).withColumn("payload", F.lit(None).cast("string"))
     resolved = resolve_revisits(heads, min_bytes).select(
         F.col("record_id").alias("rid"), "record_type", "payload_bytes", "refers_to", "refers_to_record")
     bodies = read_archives(spark, source).select("page_id", "url", "record_id", "payload_digest", "payload")

@@ -48,6 +48,15 @@ def test_archives_round_trip_and_revisits(spark, pages, tmp_path):
     assert warc.read_archives(spark, none).count() == 0
 
 
+def test_headers_are_unpacked_once(spark, pages, tmp_path, monkeypatch):
+    raw, seen, resolve = str(tmp_path / "raw"), [], warc.resolve_revisits
+    warc.write_archives(warc.page_records(pages), raw)
+    monkeypatch.setattr(warc, "resolve_revisits", lambda records, *more: seen.append(records) or resolve(records, *more))
+    warc.dedup_archives(spark, raw, str(tmp_path / "slim"))
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "FileScan parquet" in plan
+
+
 def test_orphan_revisit_stays(spark):
     row = (9, "u", "rec-1", "revisit", "ABC", 5, 3, "rec-0", None)
     out = warc.resolve_revisits(spark.createDataFrame([row], warc.RECORD)).first()
