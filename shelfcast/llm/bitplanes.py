@@ -43,20 +43,23 @@ def to_planes(ids: np.ndarray, level: int = 3) -> list[bytes]:
 
     kind = "<u2" if len(ids) == 0 or ids.max() < 1 << 16 else "<u4"
     rows = ids.astype(kind).view(np.uint8).reshape(len(ids), -1)
-    bits = np.unpackbits(rows, axis=1, bitorder="little")
-    planes = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
     pack = zstandard.ZstdCompressor(level=level)
-    return [pack.compress(p.tobytes()) for p in planes]
+    out = []
+    for byte in np.ascontiguousarray(rows.T):
+        # any bit set counts as one, so the masked byte needs no shift
+        out += [pack.compress(np.packbits(byte & np.uint8(1 << bit), bitorder="little").tobytes()) for bit in range(8)]
+    return out
 
 
 def from_planes(planes: list[bytes], n_ids: int) -> np.ndarray:
     import zstandard
 
     unpack = zstandard.ZstdDecompressor()
-    rows = np.stack([np.frombuffer(unpack.decompress(p), dtype=np.uint8) for p in planes])
-    bits = np.unpackbits(rows, axis=1, bitorder="little", count=n_ids)
-    ids = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    return np.ascontiguousarray(ids).view(f"<u{ids.shape[1]}").reshape(-1).astype("<u4")
+    rows = np.zeros((len(planes) // 8, n_ids), dtype=np.uint8)
+    for b, plane in enumerate(planes):
+        bits = np.unpackbits(np.frombuffer(unpack.decompress(plane), dtype=np.uint8), bitorder="little", count=n_ids)
+        rows[b // 8] |= bits << np.uint8(b % 8)
+    return np.ascontiguousarray(rows.T).view(f"<u{len(rows)}").reshape(-1).astype("<u4")
 
 
 def _block_type() -> pa.Schema:
@@ -109,22 +112,28 @@ def read_blocks(spark: SparkSession, source: str) -> DataFrame:
     return spark.read.schema(BLOCK).parquet(source)
 
 
-def read_ids(spark: SparkSession, source: str) -> DataFrame:
-    """Per block segment: shard, row, doc_id, start in the shard, n_tokens, part, length, ids (little-endian uint32)."""
+def read_ids(spark: SparkSession, source: str, checksums: bool = False) -> DataFrame:
+    """Per block segment: shard, row, doc_id, start in the shard, n_tokens, part, length, ids (little-endian uint32).
+
+    ``checksums`` gives ``crc`` (the ids' crc32) instead of the ids, which then never leave the task that decodes them."""
+    name, kind = ("crc", pa.int64()) if checksums else ("ids", pa.binary())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for b in batch.to_pylist():
                 data, at = from_planes(b["planes"], b["n_ids"]).tobytes(), 0
                 rows = []
                 for s in b["segments"]:
-                    rows.append({"shard": b["shard"], **s, "ids": data[4 * at:4 * (at + s["length"])]})
+                    ids = data[4 * at:4 * (at + s["length"])]
+                    rows.append({"shard": b["shard"], **s, name: zlib.crc32(ids) if checksums else ids})
                     at += s["length"]
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                     [("shard", pa.int32()), ("row", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
-                     ("part", pa.int32()), ("length", pa.int32()), ("ids", pa.binary())]))
+                     ("part", pa.int32()), ("length", pa.int32()), (name, kind)]))
 
     return (read_blocks(spark, source).select("shard", "n_ids", "segments", "planes")
-            .mapInArrow(run, "shard int, row long, doc_id long, start long, n_tokens long, part int, length int, ids binary"))
+            .mapInArrow(run, "shard int, row long, doc_id long, start long, n_tokens long, part int, length int, "
+                        + ("crc long" if checksums else "ids binary")))
 
 
 def join_checksums(parts: list[tuple[int, int]]) -> int:
@@ -139,15 +148,11 @@ def join_checksums(parts: list[tuple[int, int]]) -> int:
 
 def document_checksums(spark: SparkSession, source: str) -> DataFrame:
     """Per document: doc_id, start (ids of all earlier documents), n_tokens, ids_crc32 - all from the files."""
-    @F.pandas_udf("long")
-    def crc(ids):
-        return ids.map(zlib.crc32)
-
     @F.pandas_udf("long")
     def joined(parts):
         return parts.map(lambda ps: join_checksums([(4 * p["length"], p["crc"]) for p in ps]))
 
-    segments = C.persisted(read_ids(spark, source).withColumn("crc", crc("ids")).drop("ids"), "bitplanes-segments")
+    segments = C.persisted(read_ids(spark, source, checksums=True), "bitplanes-segments")
     whole = F.col("length") == F.col("n_tokens")
     key = ["shard", "row", "doc_id", "start", "n_tokens"]
     spanning = (segments.where(~whole).groupBy(*key)

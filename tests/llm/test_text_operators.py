@@ -187,6 +187,20 @@ def test_bit_planes_round_trip(spark, edge_docs, no_docs, tok, tmp_path):
     assert bitplanes.document_checksums(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_bit_planes_are_the_bits_and_checksums_those_of_the_ids(spark, edge_docs, tmp_path):
+    import zstandard
+
+    for ids in (np.array([3, 0, 50256, 65535, 1]), np.array([1 << 16, 7, (1 << 32) - 1])):
+        frames = [zstandard.ZstdDecompressor().decompress(p) for p in bitplanes.to_planes(ids.astype(np.uint32))]
+        assert len(frames) == (32 if ids.max() >= 1 << 16 else 16)
+        assert frames == [np.packbits((ids >> b) & 1, bitorder="little").tobytes() for b in range(len(frames))]
+    target = str(tmp_path / "segments")
+    bitplanes.write_ids(edge_docs, target, block_ids=64)
+    key = ("shard", "row", "part", "length")
+    whole = {r[:4]: zlib.crc32(r[4]) for r in pairs(bitplanes.read_ids(spark, target), *key, "ids")}
+    assert whole and whole == {r[:4]: r[4] for r in pairs(bitplanes.read_ids(spark, target, checksums=True), *key, "crc")}
+
+
 # ---------------------------------------------------------------- simhash
 
 def brute_simhash(text):
