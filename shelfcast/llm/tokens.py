@@ -58,9 +58,10 @@ class Pieces(dict):
         self.fresh: list[str] = []
 
     def __missing__(self, piece: str) -> int:
-        body = piece[1:] if piece[:1] == _BARE else piece
-        if piece != "\x01\n" and (not body or body[0].isspace()):
-            raise OddSpace
+        if not piece[:1].isalpha():
+            body = piece[1:] if piece[:1] == _BARE else piece
+            if piece != "\x01\n" and (not body or body[0].isspace()):
+                raise OddSpace
         row = self[piece] = len(self)
         self.fresh.append(piece)
         return row
@@ -127,6 +128,11 @@ class PieceEncoder:
         marks, n_marks = self.marks, len(self.marks)
         kind, place, tail = [], [], []
         for p in fresh:
+            if p.isalpha():  # most are a word alone
+                kind.append(_WORD)
+                place.append(words.setdefault(" " + p, len(words)))
+                tail.append(0)
+                continue
             bare = p[:1] == _BARE
             m = match(p, 1) if bare else match(p)
             if m and m[1].isalpha():
