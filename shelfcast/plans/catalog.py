@@ -436,10 +436,12 @@ def q_date_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfcast.functions.dates import variant_date
 
     parsed = silver_table(spark, sf_dir).select("source_table", J.parse("record_data").alias("p"))
-    fields = F.array(*[F.struct(F.lit(t).alias("source_table"), F.lit(f).alias("field"), J.path(F.col("p"), f"$.{f}", "int").alias("epoch_day"),
-                                variant_date(F.col("p"), f"$.{f}").alias("decoded")) for t, f in DATE_FIELDS])
-    found = parsed.select("source_table", F.explode(fields).alias("d"))
-    return found.where("source_table = d.source_table").select("d.*").distinct()
+    # a row decodes the fields of its own table only
+    fields = F.array(*[F.when(F.col("source_table") == t, F.struct(
+        F.lit(t).alias("source_table"), F.lit(f).alias("field"), J.path(F.col("p"), f"$.{f}", "int").alias("epoch_day"),
+        variant_date(F.col("p"), f"$.{f}").alias("decoded"))) for t, f in DATE_FIELDS])
+    found = parsed.select(F.explode(fields).alias("d"))
+    return found.where("d is not null").select("d.*").distinct()
 
 
 @query("inspect_table")

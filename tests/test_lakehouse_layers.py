@@ -206,3 +206,11 @@ def test_hot_key_resolves_through_partial_aggregation(spark):
     assert len(rows) == 31
     # latest = greatest event time (minute 59), then greatest LSN among those: i = 299
     assert rows["txn-hot"] == 300
+
+
+def test_date_decoding_decodes_only_fields_of_the_rows_table(spark):
+    from shelfcast.plans.catalog import DATE_FIELDS, QUERIES
+
+    plan = QUERIES["date_decoding"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    generate = next(line for line in plan.split("\n") if "Generate explode" in line and "business_date" in line)
+    assert generate.count("CASE WHEN (source_table") == len(DATE_FIELDS)
