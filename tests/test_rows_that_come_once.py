@@ -168,3 +168,45 @@ def test_store_and_promotion_ids_by_concatenation_equal_formatted_ones(spark):
     rows = df.select(RV._store_id(n).alias("s"), F.format_string("store-%02d", n).alias("s0"), RV._promotion_id().alias("p"),
                      F.format_string("promo-%d-%d-%d", "l_orderkey", "l_linenumber", "l_partkey").alias("p0")).collect()
     assert all(r["s"] == r["s0"] and r["p"] == r["p0"] for r in rows)
+
+
+# ------------------------------------------- cost of the silver step a row
+
+
+def test_records_are_written_by_member_with_the_same_text(spark):
+    texts = ['{"b":1,"a":2}', "{}", "[]", '[1,{"z":1,"a":[]}]', '"x"', "1.50", "1e3", "null", "true", '{"a":null}', '{"a":1,"a":2}', '{"a":01}', "{bad", "",
+             '{"a":{"d":null,"c":[1,null,{"y":1,"x":"q\\"uo\\\\te"}]},"B":"\\u0001\\t\\n/</"}', '{"a":1.50,"c":12345678901234567890123,"e":-0.0,"f":1E-7}',
+             '{"é":"東京 😀","\\ud83d\\ude00":1,"\\uffff":2,"\\u007f":"\\u2028"}', '{"a\\"b":1,"":3," ":4}', ' {"Z" : 1,"_":3,"aa":5,"a-":6} ', None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("v", J.parse("t")).withColumn("e", J.parse(F.concat(F.lit('{"after":'), "t", F.lit("}"))))
+    want = F.when(~F.is_variant_null("v"), F.to_json("v"))
+    kept = df.select("t", J.variant_to_json(F.col("v")).alias("got"), J.sub_to_json(F.col("e"), "$.after").alias("inner"), want.alias("want"))
+    for r in kept.collect():
+        assert r["got"] == r["want"] and (r["inner"] == r["want"] or r["t"] == ""), r
+    silver = S.silver_rows(B.bronze_rows(kafka(spark, [sale(1, 1)]), AS_OF), AS_OF)
+    assert "map<string,variant>" in silver._jdf.queryExecution().analyzed().toString().replace("MapType(StringType,VariantType,true)", "map<string,variant>")
+
+
+def test_carried_envelopes_are_not_read_twice(spark):
+    log = kafka(spark, [sale(i, i) for i in range(3)])
+    plans = [plan_of(S.silver_rows(B.bronze_rows(log, AS_OF, with_envelope=w), AS_OF)).count("$.source.lsn") for w in (False, True)]
+    assert plans == [1, 1]
+    both = S.silver_rows(B.bronze_rows(log, AS_OF, with_envelope=True), AS_OF)
+    assert [plan_of(both).count(p) for p in ("$.source.schema", "$.source.table", "$.op")] == [1, 1, 1]
+
+
+def test_repeated_keys_are_gathered_in_few_jobs(spark):
+    sc, group = spark.sparkContext, "test_repeated_keys"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sc.setJobGroup(group, group)
+        assert R.repeated_keys(spark.range(100), ["id"]) == []
+        assert len(sc.statusTracker().getJobIdsForGroup(group)) <= 3
+        twice = spark.range(100).unionByName(spark.range(3))
+        assert sorted(R.repeated_keys(twice, ["id"])) == sorted(r[0] for r in spark.range(3).select(F.xxhash64("id")).collect())
+        assert R.repeated_keys(spark.range(R.FEW_REPEATED + 1).unionByName(spark.range(R.FEW_REPEATED + 1)), ["id"]) is None
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
