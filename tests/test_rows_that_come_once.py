@@ -210,3 +210,11 @@ def test_repeated_keys_are_gathered_in_few_jobs(spark):
         sc.setLocalProperty("spark.jobGroup.id", None)
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_the_last_copy_is_found_with_its_texts_held_once(spark):
+    log = kafka(spark, [sale(1, 1)])
+    both = S.silver_rows(B.bronze_rows(log, LATER), AS_OF).unionByName(S.silver_rows(B.bronze_rows(kafka(spark, [sale(1, 5)]), AS_OF), AS_OF))
+    kept = S.keep_last_per_coordinate(both, S.SILVER_COORDINATES, ["ingested_at", "record_data", "before_data"])
+    assert kept.columns == both.columns and units(kept) == [(1, 1)]
+    assert "max_by" not in plan_of(kept)
