@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import functions as F
 
+from shelfcast.operators import bronze as B
+from shelfcast.operators import repeated as R
+from shelfcast.operators import silver as S
+from shelfcast.schemas import KAFKA_ROW
 from shelfcast.session import scratch_path
 from shelfcast.sources import lakehouse as L
+from shelfcast.sources import retail_view as RV
+from tests.conftest import envelope, kafka_row, sale_payload
+
+AS_OF, LATER = "2026-09-03 08:00:00", "2026-09-04 08:00:00"
+
+
+def sale(offset, units):
+    value = envelope("sales_transactions", "c", sale_payload(f"t{offset}", units), lsn=offset)
+    return kafka_row(RV.topic_for("sales_transactions"), 0, offset, {"transaction_id": f"t{offset}"}, value)
 
 
 def with_conf(spark, **conf):
@@ -37,3 +51,35 @@ def test_a_value_has_few_files_where_parts_are_split(spark):
         back()
     assert data_files(path) <= 2 * 80
     assert L.read_lake_table(spark, path).agg(F.count("text"), F.count_distinct("text"), F.count_distinct("day")).first() == (40000, 40000, 80)
+
+
+# ------------------------------------------------------------------ copies
+
+
+def test_marks_find_every_repeated_key_and_few_others(spark):
+    rows = spark.range(6000).unionByName(spark.range(0, 6000, 3)).select(F.when(F.col("id") != 9, F.col("id")).alias("k"), "id")
+    bitmaps = R.repeated_or_marked(rows, ["k"])
+    once, again = (R.may_be_marked(rows, ["k"], bitmaps, m) for m in (False, True))
+    assert again.where("id % 3 = 0").count() == 4000 and once.count() >= 3990 and once.count() + again.count() == 8000
+    kept = R.keep_last_where_repeated(rows, ["k"], bitmaps, lambda some: some.groupBy("k").agg(F.max("id").alias("id")))
+    assert sorted(r["id"] for r in kept.collect()) == list(range(6000))
+
+
+def test_few_repeated_keys_are_listed_and_too_full_bitmaps_are_not_used(spark, monkeypatch):
+    rows = spark.range(3000).unionByName(spark.range(2000))
+    assert R.repeated_or_marked(spark.range(10), ["id"]) == []
+    assert len(R.repeated_or_marked(spark.range(10).unionByName(spark.range(2)), ["id"])) == 2
+    monkeypatch.setattr(R, "MARK_BITS", 1 << 11)
+    assert R.repeated_or_marked(rows, ["id"]) is None
+
+
+def test_rows_that_come_once_are_not_grouped_where_many_repeat(spark, monkeypatch):
+    """All rows were sorted and shuffled with their texts once more than a thousand keys repeated."""
+    monkeypatch.setattr(R, "FEW_REPEATED", 1)
+    both = B.bronze_rows(spark.createDataFrame([sale(i, i) for i in range(40)], KAFKA_ROW), AS_OF).unionByName(
+        B.bronze_rows(spark.createDataFrame([sale(i, 1000 + i) for i in range(5)], KAFKA_ROW), LATER))
+    want = [(i, 1000 + i if i < 5 else i) for i in range(40)]
+    for kept in (S.silver_events(both, AS_OF), S.silver_events(B.dedup_landing(both), AS_OF)):
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "LeftAnti" in plan and "LeftSemi" in plan
+        assert sorted((r["kafka_offset"], json.loads(r["record_data"])["units"]) for r in kept.collect()) == want
