@@ -707,7 +707,7 @@ def q_gold_as_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold with the store and product as known on the day."""
     gold = gold_table(spark, sf_dir).select("store_id", "sku_id", "business_date", "units_sold")
     tables = ["stores", "products"]
-    bronze = landed_bronze(spark, sf_dir).where(F.col("topic").isin([RV.topic_for(t) for t in tables]) & F.col("source_table").isin(tables))
+    bronze = B.bronze_rows(RV.change_log(spark, sf_dir, tables=tables), RV.AS_OF).where(F.col("topic").isin([RV.topic_for(t) for t in tables]) & F.col("source_table").isin(tables))
     dimensions = S.silver_events(bronze, RV.AS_OF)
     return comparable(H.enriched_gold(gold, stored(H.record_history(dimensions))))
 

@@ -361,14 +361,25 @@ def _promotion_message() -> list[Column]:
 
 
 def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
-               partitions: int = KAFKA_PARTITIONS, spread: bool = False) -> DataFrame:
-    """The Kafka-shaped change stream of all four retail tables.
+               partitions: int = KAFKA_PARTITIONS, spread: bool = False, tables: list[str] | None = None) -> DataFrame:
+    """The Kafka-shaped change stream of all four retail tables, or of the topics of ``tables`` alone.
 
     Dimension tables arrive as snapshot reads (``r``); sales as create/update/delete.
     Every lineitem row yields its messages in one pass (its sales event, the
     snapshot of the promotion it defines, and with ``redeliver`` the second copy
     of a redelivered message), so the row source is scanned and joined once.
     """
+    dimensions = _store_messages(spark, sf_dir).unionByName(_product_messages(spark, sf_dir))
+    if tables is None:
+        return _line_messages(spark, sf_dir, redeliver, partitions, spread).unionByName(dimensions)
+    wanted = F.col("topic").isin([topic_for(t) for t in tables])
+    if {"sales_transactions", "promotions"}.isdisjoint(tables):
+        return dimensions.where(wanted)
+    return _line_messages(spark, sf_dir, redeliver, partitions, spread).unionByName(dimensions).where(wanted)
+
+
+def _line_messages(spark: SparkSession, sf_dir: str, redeliver: bool, partitions: int, spread: bool) -> DataFrame:
+    """Messages of the sales and promotions topics."""
     base = _sales_base(spark, sf_dir, partitions, spread)
     sale, promo = _sale_message(), _promotion_message()
     # kinds of messages per row: 0 its sale, 1 the promotion, 2 the sale again (same coordinates
@@ -381,19 +392,23 @@ def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
     columns = [F.when(kind == 1, p).otherwise(s).alias(name) for name, s, p in zip(
         ["key", "value", "topic", "partition", "offset"], sale, promo, strict=False)]
     columns.append(F.when(kind == 1, promo[5]).when(kind == 2, shifted + F.expr("INTERVAL 1 DAY")).otherwise(shifted).alias("timestamp"))
-    log = base.withColumn("_kind", F.explode(kinds)).select(*columns, F.lit(0).alias("timestampType"))
+    return base.withColumn("_kind", F.explode(kinds)).select(*columns, F.lit(0).alias("timestampType"))
+
 
+def _store_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = stores(spark, sf_dir)
     st_payload = F.struct(
         "store_id", "store_name", "region", "store_format", "square_feet",
         F.datediff("opened_on", epoch()).alias("opened_on"),
         F.col("demand_multiplier").cast("string").alias("demand_multiplier"),
     )
-    st_rows = _snapshot_rows(
+    return _snapshot_rows(
         st.withColumn("_off", F.regexp_extract("store_id", r"(\d+)$", 1).cast("long")),
         "stores", "store_id", st_payload, F.lit(0), F.col("_off"),
     )
 
+
+def _product_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pr = products(spark, sf_dir)
     pr_payload = F.struct(
         "sku_id", "product_name", "category", "brand",
@@ -407,9 +422,7 @@ def change_log(spark: SparkSession, sf_dir: str, redeliver: bool = False,
     )
     part = read_table(spark, sf_dir, "part", "p_partkey", "p_type")
     first_part = part.groupBy("p_type").agg(F.min("p_partkey").alias("_off"))
-    pr_rows = _snapshot_rows(
+    return _snapshot_rows(
         pr.join(first_part, pr.sku_id == first_part.p_type), "products", "sku_id", pr_payload,
         F.lit(0), F.col("_off"),
     )
-
-    return log.unionByName(st_rows).unionByName(pr_rows)
