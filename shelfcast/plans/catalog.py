@@ -230,10 +230,14 @@ def q_stream_watermark_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     src, out, checkpoint = (scratch_path(spark, p) for p in ("stream_source", "watermark_dedup", "stream_ckpt"))
     log = RV.change_log(spark, sf_dir, redeliver=True).withColumn("_later", F.col("offset") % 7 == 0)
     for later in (False, True):
-        log.where(F.col("_later") == later).drop("_later").write.mode("append").parquet(src)
-        kept = STREAM.dedup_within_watermark(STREAM.read_change_stream(spark, src), DEDUP_DELAY)
+        log.where(F.col("_later") == later).drop("_later").write.mode("append").option("compression", "zstd").parquet(src)
+        # only what is compared or kept goes to the state
+        seen = STREAM.read_change_stream(spark, src).select(*STREAM.COORDINATES, "timestamp")
+        kept = STREAM.dedup_within_watermark(seen, DEDUP_DELAY)
         kept = kept.select("topic", F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"))
-        kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+        with STREAM.state_on_disk(spark):
+            query = kept.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+        query.awaitTermination()
     return spark.read.schema("topic string, kafka_partition int, kafka_offset long").parquet(out)
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import time
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -28,6 +29,7 @@ from shelfcast.sources import lakehouse as L
 
 COORDINATES = ["topic", "partition", "offset"]
 RUN_MARKER = "overwrite_run"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def land_with_settings(spark: SparkSession, settings: LandingSettings, topics: list[str] | None = None,
@@ -75,6 +77,21 @@ def read_change_batch(spark: SparkSession, source: str, ranges: dict[str, dict[i
     return spark.read.schema(KAFKA_ROW).options(**(options or {})).parquet(source).where(reduce(lambda a, b: a | b, wanted, F.lit(False)))
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession):
+    """Streams started in here keep their state in RocksDB: bounded memory and a lookup per row, where the
+    default holds every key on the heap and writes whole snapshots of them."""
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_STORE)
+        else:
+            spark.conf.set(STATE_STORE, before)
+
+
 def dedup_within_watermark(stream: DataFrame, delay: str) -> DataFrame:
     """T3 as a streaming operator: drop redelivered messages (same coordinates) seen
     within ``delay`` of broker time.  Lossy: Spark discards every row older than the
