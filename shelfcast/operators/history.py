@@ -10,10 +10,13 @@ the event), and across days by the first event of each day, one narrow row per k
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import json_fns as J
+from shelfcast.operators.repeated import repeated_or_marked, split_by_repeated
 
 KEY = ["source_table", "record_key"]
 ORDER = ["event_at", "_late", "source_lsn", "kafka_topic", "kafka_partition", "kafka_offset"]
@@ -24,18 +27,31 @@ def record_history(silver: DataFrame) -> DataFrame:
 
     Events of one instant follow each other in (lsn, topic, partition, offset) order, so an overtaken
     one has an empty interval and is left out.  Events without time or key have no place and are left out.
+    The only event of a key has no neighbours: which keys have more is found first, and only their events are dealt out.
     """
     events = silver.where("event_at IS NOT NULL AND record_key IS NOT NULL").select(
         *KEY, F.col("event_at"), F.col("source_lsn").isNull().alias("_late"), "source_lsn", "kafka_topic", "kafka_partition", "kafka_offset",
         F.to_date("event_at").alias("_day"), "is_deleted", "record_data")
+    repeated = repeated_or_marked(events, KEY)
+    once, again = (None, events) if repeated is None else (events, None) if repeated == [] else split_by_repeated(events, KEY, repeated)
+    parts = [] if once is None else [once.withColumn("valid_to", F.lit(None).cast("timestamp")).select(*ENDED)]
+    parts += [] if again is None else [_ended(again)]
+    ended = reduce(DataFrame.unionByName, parts)
+    return ended.where(~F.col("is_deleted") & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("event_at")))).select(
+        *KEY, F.col("event_at").alias("valid_from"), "valid_to", "record_data")
+
+
+ENDED = [*KEY, "event_at", "valid_to", "is_deleted", "record_data"]
+
+
+def _ended(events: DataFrame) -> DataFrame:
+    """``events`` with the time of the next event of their key."""
     inside = Window.partitionBy(*KEY, "_day").orderBy(*ORDER)
     paired = events.withColumn("_next", F.lead("event_at").over(inside))
     firsts = events.groupBy(*KEY, "_day").agg(F.min("event_at").alias("_first"))
     following = firsts.withColumn("_after", F.lead("_first").over(Window.partitionBy(*KEY).orderBy("_day"))).drop("_first")
     ends = F.coalesce("_next", "_after")
-    return paired.join(following, [*KEY, "_day"]).withColumn("valid_to", ends).where(
-        ~F.col("is_deleted") & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("event_at")))).select(
-        *KEY, F.col("event_at").alias("valid_from"), "valid_to", "record_data")
+    return paired.join(following, [*KEY, "_day"]).withColumn("valid_to", ends).select(*ENDED)
 
 
 def _months(start: Column, end: Column) -> Column:

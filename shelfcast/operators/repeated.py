@@ -66,13 +66,18 @@ def keep_last_where_repeated(rows: DataFrame, keys: list[str], repeated: list[in
     bitmaps that mark them (None: all rows)."""
     if repeated is None:
         return keep_last(rows)
-    if isinstance(repeated, DataFrame):
-        once, again = (may_be_marked(rows, keys, repeated, m) for m in (False, True))
-        return once.unionByName(keep_last(again))
-    if not repeated:
+    if repeated == []:
         return rows
+    once, again = split_by_repeated(rows, keys, repeated)
+    return once.unionByName(keep_last(again))
+
+
+def split_by_repeated(rows: DataFrame, keys: list[str], repeated: list[int] | DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The ``rows`` whose key certainly comes once, and the others."""
+    if isinstance(repeated, DataFrame):
+        return may_be_marked(rows, keys, repeated, False), may_be_marked(rows, keys, repeated)
     again = F.xxhash64(*keys).isin(repeated)
-    return rows.where(~again).unionByName(keep_last(rows.where(again)))
+    return rows.where(~again), rows.where(again)
 
 
 def repeated_or_marked(rows: DataFrame, keys: list[str]) -> list[int] | DataFrame | None:

@@ -124,6 +124,14 @@ def silver_events(bronze: DataFrame, loaded_at: Column | str, strict: bool = Tru
     repeated = repeated_or_marked(bronze, COORDINATES)
     if observe and repeated != []:
         repeated = None  # the observed rows are read once
-    rows = silver_rows(bronze, loaded_at, strict, observe)
+    return _last_events(silver_rows(bronze, loaded_at, strict, observe), repeated)
+
+
+def last_events(rows: DataFrame) -> DataFrame:
+    """W1 over silver rows that are stored: their own coordinates are looked at, nothing before them is made again."""
+    return _last_events(rows, repeated_or_marked(rows, SILVER_COORDINATES))
+
+
+def _last_events(rows: DataFrame, repeated: list[int] | DataFrame | None) -> DataFrame:
     return keep_last_where_repeated(rows, SILVER_COORDINATES, repeated, lambda some: keep_last_per_coordinate(
         some, SILVER_COORDINATES, ["ingested_at", "record_data", "before_data"]))
