@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators import bronze as B
@@ -85,7 +85,10 @@ def read_parts(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
 
 def latest_events(messages: DataFrame) -> DataFrame:
     """Kafka rows -> the latest sales event of every transaction among them."""
-    silver = S.silver_rows(B.bronze_rows(messages, F.current_timestamp()), F.current_timestamp())
+    # counted where they are parsed: the filter on the source table stops there and does not parse each message once more
+    counted = (Observation(), [F.count(F.lit(1)).alias("envelopes")])
+    bronze = B.bronze_rows(messages, F.current_timestamp(), with_envelope=True)
+    silver = S.silver_rows(bronze, F.current_timestamp(), observe=counted)
     sales = G.sales_events(silver).withColumn(KEY, G.transaction_key())
     return G.latest_per_key(sales, KEY, CARRIED)
 
@@ -129,7 +132,8 @@ def merge_events(new: DataFrame, batch_id: int, root: str, buckets: int = BUCKET
         # dealt out by bucket once, for the merge and for the write
         merged = G.latest_per_key(whole.repartition("bucket"), ["bucket", KEY], CARRIED).withColumn("bucket", F.col("bucket").cast("string"))
         beside = new.where(F.col("bucket").isin(added)).withColumn("bucket", F.concat(F.col("bucket").cast("string"), F.lit(ADDED)))
-        merged.unionByName(beside).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
+        # a bucket's added rows are one file and not one of every task: files would grow with tasks times batches
+        merged.unionByName(beside.hint("rebalance", "bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/batch={batch_id}")
     return touched
 
 
